@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from gristmill.llm import packing
+from gristmill.llm import ctw, exactdedup, packing, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op6_exact_dedup": exactdedup.op6_exact_dedup,
+    "op9_context_tree_weighting": ctw.op9_context_tree_weighting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": exactdedup.ORACLE,
+}

@@ -9,7 +9,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
+ID_BUCKETS = 1 << 20
 #: Bytes of text that Python code holds as objects at once, beside the Arrow batch.
 SLICE_BYTES = 4 << 20
 
@@ -31,6 +34,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(docs, ids) with _bucket, and the buckets of ids: bounded, so safe to broadcast however many ids there are."""
+    bucket = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(ID_BUCKETS)).cast("int")
+    return docs.withColumn("_bucket", bucket), F.broadcast(ids.select(bucket.alias("_bucket")).distinct())
+
+
+def perhaps(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id may be in ids: all that are, and few others while ids are fewer than ID_BUCKETS."""
+    split, buckets = _split(docs, ids)
+    return split.join(buckets, "_bucket", "left_semi").drop("_bucket")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is not in ids (one column, doc_id). Only rows that share a bucket with an id are shuffled."""
+    split, buckets = _split(docs, ids)
+    far = split.join(buckets, "_bucket", "left_anti").drop("_bucket")
+    gone = ids.select(F.col("doc_id").alias("_gone"))
+    near = perhaps(docs, ids)
+    return far.union(near.join(gone, near["doc_id"].eqNullSafe(gone["_gone"]), "left_anti"))
+
+
 def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list]]:
     """Slices of a string or binary column as (first row, bytes or None), each of max_bytes or one value."""
     values = batch.column(batch.schema.get_field_index(column))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gristmill.llm import ctw, exactdedup, packing, toxicity
+from gristmill.llm import ctw, exactdedup, ngramjoin, packing, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op4_ngram_jaccard_join": ngramjoin.op4_ngram_jaccard_join,
     "op6_exact_dedup": exactdedup.op6_exact_dedup,
     "op9_context_tree_weighting": ctw.op9_context_tree_weighting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,

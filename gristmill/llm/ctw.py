@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gristmill.llm.common import rows_of, stored, table, worker_cache
 
 DEPTH = 5
-CONTEXTS = 1 << 16
+CONTEXTS = 1 << 18
 COMMON = 1 << 18
 #: The byte that stands for both ends of a text; UTF-8 has no such byte.
 END = 0xFF

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from gristmill.llm import ctw, exactdedup, ngramjoin, packing, toxicity
+from gristmill.llm import ctw, exactdedup, ngramjoin, packing, secretscan, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_ngram_jaccard_join": ngramjoin.op4_ngram_jaccard_join,
     "op6_exact_dedup": exactdedup.op6_exact_dedup,
+    "op7_secret_scan": secretscan.op7_secret_scan,
     "op9_context_tree_weighting": ctw.op9_context_tree_weighting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }

@@ -16,7 +16,6 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,60 +24,72 @@ from gristmill.llm.common import one_thread, rows_of, stored, table, worker_cach
 CAPACITY, END_ID = 4096, 1
 #: Parts into which the pieces of one length are dealt, so that a very common length is no single group.
 SALTS = 64
-#: Entries of a worker's word cache, after which it starts anew.
-CACHE_WORDS = 1_500_000
-#: The pre-tokeniser pattern that the vocabulary file states.
-_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Words of these characters are lower-cased and split here; others go whole through the library.
-_SIMPLE = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įĲ-ſ]+\Z")
+#: Entries of a worker's cache of pre-tokens, after which it starts anew.
+CACHE_PARTS = 1_000_000
+#: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.
+_LETTERS = "a-zß-öø-įĵ-ķĺ-ň"
+_SIMPLE = re.compile(f"[\t-\r -~À-ÖØ-öø-įĴ-ķĹ-ň]*").fullmatch
+#: The pre-tokeniser pattern that the vocabulary file states, for those characters.
+_PRETOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+").findall
 
 
 class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit integers, by a cache of words between ASCII white space.
+    """Ids of a text as little-endian unsigned 32-bit integers, by a cache of pre-tokens.
 
-    The vocabulary's normaliser and pre-tokeniser always cut at white space, so the ids of a text are those of its
-    words in a row. Words are cut further into pre-tokens, of which far fewer differ.
+    The vocabulary encodes each pre-token apart, so the ids of a text are those of its pre-tokens in a row.
     """
 
     def __init__(self, path: str):
         one_thread()
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in done]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHE_WORDS:
+    def learn(self, parts: list[str]) -> None:
+        """Encodes pre-tokens with blanks between them; the vocabulary marks the last id of each."""
+        if len(self.parts) + len(parts) > CACHE_PARTS:
             self.parts.clear()
-        split, whole, parts = {}, [], set()
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if _SIMPLE.match(text) and "<|" not in text:
-                split[w] = found = _PRETOKEN.findall(text.lower())
-                parts.update(found)
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            raw = self._whole(" ".join(some))
+            ends = np.flatnonzero(self.ends[np.frombuffer(raw, dtype="<u4")]) + 1
+            if len(ends) == len(some):
+                bounds = [0, *(4 * ends).tolist()]
+                self.parts.update(zip(some, (raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True))
             else:
-                whole.append((w, text))
-        new = [x for x in parts if x not in self.parts]
-        self.parts.update(zip(new, self._encoded(new), strict=True))
-        get = self.parts.__getitem__
-        for w, found in split.items():
-            self.words[w] = b"".join(map(get, found))
-        self.words.update(zip((w for w, _ in whole), self._encoded([t for _, t in whole]), strict=True))
+                self.parts.update((x, self._whole(x)) for x in some)
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        cut = [(x or b"").split() for x in texts]
-        need = set().union(*cut)
-        if missing := need - self.words.keys():
-            self.learn(missing)
-            if missing := need - self.words.keys():  # the cache started anew
-                self.learn(missing)
-        get = self.words.__getitem__
-        return [b"".join(map(get, x)) for x in cut]
+        out: list = []
+        missed: dict[str, None] = {}
+        waiting = []
+        for raw in texts:
+            text = (raw or b"").decode("utf-8", "replace")
+            if "<|" in text or not _SIMPLE(text):
+                out.append(self._whole(text))
+                continue
+            parts = _PRETOKENS(text.lower())
+            ids = list(map(self.parts.get, parts))
+            if None in ids:
+                new = [k for k, x in enumerate(ids) if x is None]
+                missed.update((parts[k], None) for k in new)
+                waiting.append((len(out), [parts[k] for k in new], new))
+                out.append(ids)
+            else:
+                out.append(b"".join(ids))
+        if missed:
+            self.learn(list(missed))
+            for at, parts, new in waiting:
+                for k, part in zip(new, parts, strict=True):
+                    out[at][k] = self.parts[part]
+                out[at] = b"".join(out[at])
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

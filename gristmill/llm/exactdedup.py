@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, table
+from gristmill.llm.common import perhaps, stored, table, without
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Digests that one filter is meant for at most, and the least number of shards that the digest space is cut into.
@@ -160,8 +160,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     The two texts of a pair meet by digest: a row per digest and side, so no group of copies meets in one task.
     """
-    wanted = pairs.select(F.explode(F.array(F.struct(F.col("new_id").alias("doc_id"), F.lit(0).alias("side"), "text_sha256"), F.struct(F.col("old_id").alias("doc_id"), F.lit(1).alias("side"), "text_sha256"))).alias("w")).select("w.*")
-    texts = docs.select(F.col("doc_id"), normalised().cast("binary").alias("bytes"))
+    sides = F.array(*(F.struct(F.col(c).alias("doc_id"), F.lit(k).alias("side"), "text_sha256") for k, c in enumerate(("new_id", "old_id"))))
+    wanted = pairs.select(F.explode(sides).alias("w")).select("w.*")
+    texts = perhaps(docs, wanted).select("doc_id", normalised().cast("binary").alias("bytes"))
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])).where(F.sha2("bytes", 256) == F.col("text_sha256"))
     sides = [F.min(F.when(F.col("side") == k, F.col("bytes"))) for k in (0, 1)]
     return found.groupBy("text_sha256").agg((sides[0] == sides[1]).alias("same")).where("same").select("text_sha256")
@@ -201,8 +202,7 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dedup_new(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns; docs needs unique ids."""
-    kept = dedup(*halves(docs)).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    return without(docs, stored(dedup(*halves(docs)).where("not kept").select("doc_id").distinct(), "dropped"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

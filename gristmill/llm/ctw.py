@@ -348,15 +348,16 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
                     words = text.lower().split()
                     n_tokens.append(len(words) + 1)
                     got = [*map(common.get, words), common.get(END_KEY)]
-                    none = got.count(None)
-                    n_common.append(len(got) - none)
-                    if none:
-                        other = [key_of(w) for w, x in zip(words, got, strict=False) if x is None]
-                        rest.append(other + [END_KEY] * (got[-1] is None))
-                        total.append(sum(x for x in got if x is not None))
-                    else:
-                        rest.append([])
-                        total.append(sum(got))
+                    other = []
+                    if None in got:
+                        for k in [k for k, x in enumerate(got) if x is None]:
+                            key = key_of(words[k]) if k < len(words) else END_KEY
+                            got[k] = common.get(key, 0.0)  # a long word is known by its key
+                            if key not in common:
+                                other.append(key)
+                    n_common.append(len(got) - len(other))
+                    total.append(sum(got))
+                    rest.append(other)
                 n = len(texts)
                 columns = {"_row": pa.array(range(row, row + n), pa.int64())}
                 columns |= {c: batch.column(batch.schema.get_field_index(c)).slice(first, n) for c in ("doc_id", "held_out")}

@@ -26,7 +26,7 @@ from gristmill.llm.common import rows_of, stored, table
 LABELLED_ROWS = 20_000
 #: Lexicon terms: at least this share of the positive rows, this many of them, and this ratio of the two rates.
 TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 5, 15.0, 4096
-BEGINNINGS = range(4, 8)
+BEGINNINGS = range(4, 11)
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN = 60, 3, 0.2, 32, 2.0
 THRESHOLD, NEAR = 0.3, 5
 #: Characters of a very long text that are looked at together.

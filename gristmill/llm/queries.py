@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from gristmill.llm import chat, ctw, exactdedup, ngramjoin, packing, pieces, revisits, secretscan, toxicity
+from gristmill.llm import chat, ctw, exactdedup, neardup, ngramjoin, packing, pieces, revisits, secretscan, toxicity
 
 QUERIES = {
     "op1_warc_revisits": revisits.op1_warc_revisits,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_gumbel_topk_pieces": pieces.op3_gumbel_topk_pieces,
     "op4_ngram_jaccard_join": ngramjoin.op4_ngram_jaccard_join,
+    "op5_nn_descent": neardup.op5_nn_descent,
     "op6_exact_dedup": exactdedup.op6_exact_dedup,
     "op7_secret_scan": secretscan.op7_secret_scan,
     "op8_preference_format": chat.op8_preference_format,

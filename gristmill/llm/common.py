@@ -34,25 +34,42 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(docs, ids) with _bucket, and the buckets of ids: bounded, so safe to broadcast however many ids there are."""
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a stored table that nothing reads any more."""
+    jvm = table.sparkSession._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """name, with underscores until docs has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _split(docs: DataFrame, ids: DataFrame) -> tuple[str, DataFrame, DataFrame]:
+    """(name, docs, ids) with the column of that name for the bucket, and the buckets of ids: bounded, so safe to broadcast."""
+    name = free_name(docs, "_bucket")
     bucket = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(ID_BUCKETS)).cast("int")
-    return docs.withColumn("_bucket", bucket), F.broadcast(ids.select(bucket.alias("_bucket")).distinct())
+    return name, docs.withColumn(name, bucket), F.broadcast(ids.select(bucket.alias(name)).distinct())
 
 
 def perhaps(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id may be in ids: all that are, and few others while ids are fewer than ID_BUCKETS."""
-    split, buckets = _split(docs, ids)
-    return split.join(buckets, "_bucket", "left_semi").drop("_bucket")
+    name, split, buckets = _split(docs, ids)
+    return split.join(buckets, name, "left_semi").select(*docs.columns)
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is not in ids (one column, doc_id). Only rows that share a bucket with an id are shuffled."""
-    split, buckets = _split(docs, ids)
-    far = split.join(buckets, "_bucket", "left_anti").drop("_bucket")
-    gone = ids.select(F.col("doc_id").alias("_gone"))
+    name, split, buckets = _split(docs, ids)
+    far = split.join(buckets, name, "left_anti").select(*docs.columns)
     near = perhaps(docs, ids)
-    return far.union(near.join(gone, near["doc_id"].eqNullSafe(gone["_gone"]), "left_anti"))
+    gone = ids.select(F.col("doc_id").alias(name))
+    return far.union(near.join(gone, near["doc_id"].eqNullSafe(gone[name]), "left_anti"))
 
 
 def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list]]:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, table
+from gristmill.llm.common import free_name, stored, table
 
 TRAINING, TREES, DEPTH, BINS = 24_000, 16, 6, 16
 THRESHOLD = 0.5
@@ -69,22 +69,23 @@ def numbers(c: Column, before: Column, after: Column, source: Column) -> Column:
     return F.array(*(F.coalesce(values[name].cast("double"), F.lit(0.0)) for name in NAMES))
 
 
-def judged(docs: DataFrame, forest: list[dict]) -> DataFrame:
-    """Rows of docs whose text has candidates, with _parts, the text between them, and _found, an array of structs.
+def judged(docs: DataFrame, forest: list[dict], parts: str = "_parts", found: str = "_found") -> DataFrame:
+    """Rows of docs whose text has candidates, with the text between them and the candidates, two arrays, under these names.
 
     All happens within the row: nothing is exploded or shuffled.
     """
+    keys, measured = free_name(docs, "_keys"), free_name(docs, "_numbers")
     rows = docs.where(F.col("text").rlike(CANDIDATE))
-    rows = rows.withColumn("_parts", F.split("text", CANDIDATE)).withColumn("_keys", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
+    rows = rows.withColumn(parts, F.split("text", CANDIDATE)).withColumn(keys, F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
 
     def one(key: Column, k: Column) -> Column:
-        before, after = F.right(F.get("_parts", k), F.lit(BEFORE)), F.left(F.get("_parts", k + 1), F.lit(AFTER))
+        before, after = F.right(F.get(parts, k), F.lit(BEFORE)), F.left(F.get(parts, k + 1), F.lit(AFTER))
         return F.struct(k.alias("ordinal"), key.alias("candidate"), numbers(key, before, after, source).alias("x"))
 
-    rows = rows.withColumn("_numbers", F.transform("_keys", one))
-    found = F.expr(f"transform(_numbers, v -> struct(v.ordinal as ordinal, v.candidate as candidate, {score_of(forest, 'v.x')} as score))")
-    return rows.withColumn("_found", found).drop("_keys", "_numbers")
+    rows = rows.withColumn(measured, F.transform(keys, one))
+    with_score = F.expr(f"transform(`{measured}`, v -> struct(v.ordinal as ordinal, v.candidate as candidate, {score_of(forest, 'v.x')} as score))")
+    return rows.withColumn(found, with_score).drop(keys, measured)
 
 
 # ---------------------------------------------------------------- labelled findings
@@ -198,9 +199,10 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
 def redact(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD, mark: str = "[SECRET]") -> DataFrame:
     """The documents with their columns; each secret in a text is replaced by the mark, and n_chars follows."""
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    done = judged(docs, _forest(docs, findings))
-    put = F.transform("_found", lambda v: F.when(v["score"] >= threshold, F.lit(mark)).otherwise(v["candidate"]))
-    whole = F.array_join(F.flatten(F.zip_with("_parts", put, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    parts, found = free_name(docs, "_parts"), free_name(docs, "_found")
+    done = judged(docs, _forest(docs, findings), parts, found)
+    put = F.transform(found, lambda v: F.when(v["score"] >= threshold, F.lit(mark)).otherwise(v["candidate"]))
+    whole = F.array_join(F.flatten(F.zip_with(parts, put, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     done = done.withColumn("text", whole)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

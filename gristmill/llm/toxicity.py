@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import rows_of, stored, table
+from gristmill.llm.common import free_name, rows_of, stored, table
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, in expectation.
 LABELLED_ROWS = 20_000
@@ -208,7 +208,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Dat
     share = min(1.0, rows / max(1, labels.count()))
     hashed = F.pmod(F.xxhash64(F.lit(17), "_id"), F.lit(1_000_000))
     few = labels.where(hashed < int(share * 1_000_000)).distinct()  # about `rows` rows of 12 bytes
-    found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))  # joined where the texts lie
     return found.select("text", "toxic", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(5)).cast("int").alias("part"))
 
 
@@ -275,8 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scor
     return Scorer(full, trees, isotonic(trees.margins(x[rest]), y[rest]), float(y.mean()))
 
 
-def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """All columns of docs and a last one, _score."""
+def scored(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
+    """All columns of docs and a last one, the score, under a name that docs doesn't have."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     model = docs.sparkSession.sparkContext.broadcast(scorer)  # at most TERMS terms and TREES trees
@@ -284,17 +284,18 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     def score(batches):
         for batch in batches:
             found = [model.value(texts) for _, texts in rows_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*found, []]), pa.float64())], names=[*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*found, []]), pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(score, StructType([*docs.schema, StructField("_score", DoubleType())]))
+    return docs.mapInArrow(score, StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
-    return scored(docs, train(docs, labels)).where(F.col("_score") < threshold).drop("_score")
+    name = free_name(docs, "score")
+    return scored(docs, train(docs, labels), name).where(F.col(name) < threshold).select(*docs.columns)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scored(docs, train(docs, table(spark, sf_dir, "labels")))
-    return found.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -25,7 +25,7 @@ from gristmill.llm.common import free_name, rows_of, stored, table
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, in expectation.
 LABELLED_ROWS = 20_000
 #: Lexicon terms: at least this share of the positive rows, this many of them, and this ratio of the two rates.
-TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 5, 15.0, 4096
+TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 4, 15.0, 4096
 BEGINNINGS = range(4, 11)
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN = 60, 3, 0.2, 32, 2.0
 THRESHOLD, NEAR = 0.3, 5
@@ -252,7 +252,7 @@ def lexicons(rows: DataFrame) -> list[Lexicon]:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scorer:
-    """Lexicon, trees (parts 1 to 4) and calibration (part 0); a row's lexicon features come from the other half's lexicon."""
+    """Lexicon, trees, and a calibration of margins out of five parts; a row's lexicon features come from the other half's lexicon."""
     picked = stored(sample(docs, labels, rows), "labelled")
     even, odd, full = lexicons(picked)
 
@@ -269,10 +269,16 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scor
         return Scorer(full, None, None, float(y.mean()) if len(y) else 0.0)
     order = np.lexsort([*np.array(got["sums"].to_pylist()).T, y, part])  # the order of the rows doesn't matter
     x, y, part = dense(np.array(got["sums"].to_pylist()))[order], y[order], part[order]
-    fit = (part > 0) if len(set(y[part > 0])) == 2 and (part == 0).any() else np.ones(len(y), bool)
-    trees = Trees.fit(x[fit], y[fit])
-    rest = ~fit if (~fit).any() else fit
-    return Scorer(full, trees, isotonic(trees.margins(x[rest]), y[rest]), float(y.mean()))
+    return Scorer(full, Trees.fit(x, y), isotonic(_out_of_part(x, y, part), y), float(y.mean()))
+
+
+def _out_of_part(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The margin of each row by trees that were fitted without its part."""
+    out = np.zeros(len(y))
+    for k in np.unique(part):
+        rest = part != k
+        out[~rest] = Trees.fit(x[rest], y[rest]).margins(x[~rest]) if len(set(y[rest])) == 2 else 0.0
+    return out
 
 
 def scored(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:

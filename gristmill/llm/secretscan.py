@@ -24,9 +24,9 @@ from gristmill.llm.common import free_name, stored, table
 
 TRAINING, TREES, DEPTH, BINS = 24_000, 16, 6, 16
 THRESHOLD = 0.5
-#: A candidate: a whole run of 16 or more key characters with a digit among them.
-_KEY = r"A-Za-z0-9+/_=.\-"
-CANDIDATE = rf"(?<![{_KEY}])(?=[{_KEY}]{{16}})(?=[A-Za-z+/_=.\-]*+[0-9])[{_KEY}]++"
+#: A candidate: a whole run of 16 or more key characters with a digit among them, and its padding.
+_KEY = r"A-Za-z0-9+/_.\-"
+CANDIDATE = rf"(?<![{_KEY}])(?=[{_KEY}]{{16}})(?=[A-Za-z+/_.\-]*+[0-9])[{_KEY}]++={{0,2}}"
 #: Characters before and after a candidate that are looked at.
 BEFORE, AFTER = 32, 4
 #: Words of a dictionary, and words that stand beside secrets or beside what only looks like one.

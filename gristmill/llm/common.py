@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.sources.shared import shared_dir, stored
+
+__all__ = ["discard", "free_name", "one_thread", "perhaps", "rows_of", "shared_dir", "stored", "table", "without", "worker_cache"]
+
 #: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
 ID_BUCKETS = 1 << 20
 #: Bytes of text that Python code holds as objects at once, beside the Arrow batch.
@@ -21,19 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or f"file://{tempfile.gettempdir()}/gristmill-checkpoints").rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df, written to the shared folder and read again: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def discard(table: DataFrame) -> None:
     """Deletes the files of a stored table that nothing reads any more."""
     jvm = table.sparkSession._jvm

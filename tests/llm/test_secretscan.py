@@ -1,0 +1,52 @@
+from helpers import ODD, documents, odd
+from pyspark.sql import functions as F
+
+from gristmill.llm import secretscan
+
+SECRETS = ['token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "password=Zk3vQ9sLw2Xy7Tn4Bq8RmJ5d", 'api_key = "sk-a8Kd93LmQp20VxZt6Rw1YbNc5Hs7Ge4Jf"']
+OTHERS = ["sha1: 24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "card 4785380592391139", "see mail12.example.com", "uuid 24be6443-9e3e-49cf-46b2-d7c90f3602a3", "usr/local/share/2024/index/docs"]
+
+
+def judge(spark, texts):
+    return {r["doc_id"]: r["is_secret"] for r in secretscan.scan(documents(spark, texts)).collect()}
+
+
+def test_findings(spark):
+    got = judge(spark, [f"some words {x} and more" for x in SECRETS + OTHERS])
+    assert [got.get(k) for k in range(len(SECRETS))] == [True] * len(SECRETS)
+    assert not any(got.get(k) for k in range(len(SECRETS), len(SECRETS + OTHERS)))
+
+
+def test_held_out_findings(spark):
+    """Trained on some labelled findings, right on others."""
+    from pyspark.sql.types import DoubleType
+
+    every = secretscan.labelled(spark, 6000).withColumn("k", F.monotonically_increasing_id())
+    forest = secretscan.train(every.where("k % 2 = 0"))
+    x = secretscan.numbers(F.col("candidate"), F.col("before"), F.col("after"), F.col("source"))
+    rest = every.where("k % 2 = 1").withColumn("x", x).withColumn("s", F.expr(secretscan.score_of(forest, "x")).cast(DoubleType()))
+    right = rest.agg(F.avg(((F.col("s") >= 0.5) == (F.col("label") == 1)).cast("int"))).first()[0]
+    assert right > 0.98
+
+
+def test_redacted(spark):
+    texts = [f"a {SECRETS[0]}, b {SECRETS[1]} c", f"x {OTHERS[0]} y", *ODD]
+    docs = documents(spark, texts, extra=True)
+    out = secretscan.redact(docs)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[0]["text"] == 'a token = "[SECRET]", b password=[SECRET] c' and got[0]["n_chars"] == len(got[0]["text"])
+    assert {k: got[k]["text"] for k in got if k and k != 2 + len(ODD) - 2} == {k: t for k, t in enumerate(texts) if k and k != 2 + len(ODD) - 2}
+    assert "[SECRET]" in got[2 + len(ODD) - 2]["text"] and len(got) == len(texts)
+
+
+def test_main_path_is_native(spark):
+    for df in (secretscan.scan(odd(spark)), secretscan.redact(odd(spark))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_empty_tables_and_null_sources(spark):
+    assert secretscan.scan(odd(spark).where("false")).count() == 0
+    null = documents(spark, SECRETS).withColumn("source", F.lit(None).cast("string"))
+    assert secretscan.scan(null).where("is_secret").count() == len(SECRETS)

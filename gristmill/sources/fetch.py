@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions import text
+from gristmill.operators import patch
+from gristmill.sources.shared import stored
 
 # The defaults of a fetch.
 CONCURRENCY, RETRIES, TIMEOUT, DELAY = 8, 3, 30, 0.2
@@ -102,6 +104,43 @@ def fetch(asked: DataFrame, transport: Transport = urllib_transport, retries: in
     return asked.repartition("origin").select("url", "origin", "if_none_match", "if_modified_since").mapInPandas(run, RESULT)
 
 
+def patch_outcome(status: Column, body: Column) -> Column:
+    """What a patch's answer means: patch, unavailable (none is there, or an empty one) or error."""
+    empty = F.coalesce(text.strip(body) == "", F.lit(True))
+    return F.when(status.isin(204, 404) | ((status == 200) & empty), "unavailable").when(status == 200, "patch").otherwise("error")
+
+
+def updated_by_patch(lists: DataFrame, transport: Transport = urllib_transport, **how) -> DataFrame:
+    """lists: url, text, diff_path, list_checksum. Adds result (null: fetch the whole list), and why.
+
+    The patch is fetched from the list's diff path and applied; the result must have the checksum that the list states.
+    """
+    asked = lists.withColumn("_at", patch_url("url", "diff_path"))
+    wanted = asked.where("_at.url is not null").select(F.col("_at.url").alias("url")).distinct()
+    nothing = F.lit(None).cast("string")
+    sent = fetch(requests(wanted, wanted.select("url", nothing.alias("etag"), nothing.alias("last_modified"))), transport, **how)
+    answers = sent.select(F.col("url").alias("_u"), "status_code", F.col("body").cast("string").alias("patch"))
+    met = asked.join(answers, F.col("_at.url") == F.col("_u"), "left").withColumn("resource", F.col("_at.resource"))
+    what = F.when(F.col("_at.url").isNull(), "no path").otherwise(patch_outcome(F.col("status_code"), F.col("patch")))
+    done = patch.patched(met.withColumn("_what", what).withColumn("patch", F.when(F.col("_what") == "patch", F.col("patch")).otherwise("")))
+    good = F.coalesce(text.checksum_matches(F.col("result"), F.col("list_checksum")), F.lit(False))
+    why = F.when(F.col("_what") != "patch", F.col("_what")).when(F.col("error").isNotNull(), F.col("error")).when(~good, "list checksum differs").otherwise("patched")
+    return done.withColumn("why", why).withColumn("result", F.when(F.col("why") == "patched", F.col("result"))).select(*lists.columns, "result", "why")
+
+
+def refresh(spark, urls: DataFrame, meta: DataFrame, folder: str, now: int, transport: Transport = urllib_transport, **how) -> dict[str, int]:
+    """Fetches lists into a folder: bodies as Parquet by file name, metadata beside; returns the numbers by status."""
+    known = stored(meta, "meta")
+    got = stored(fetch(requests(urls.distinct(), known), transport, **how), "fetched")
+    told = got.join(known.select("url", F.lit(True).alias("_known")), "url", "left")
+    told = told.withColumn("status", outcome(F.coalesce("status_code", F.lit(0)), F.coalesce("_known", F.lit(False))))
+    new = told.where("status = 'ok'")
+    new.select(text.safe_file_name(F.col("url")).alias("name"), "url", "body").write.mode("append").parquet(f"{folder}/lists")
+    records = new.select("url", text.safe_file_name(F.col("url")).alias("path"), "etag", "last_modified", F.sha2("body", 256).alias("content_sha256"), "status_code", F.lit(now).cast("long").alias("fetched_at"))
+    write_meta(stored(record(known, records), "meta"), f"{folder}/meta")
+    return {r["status"]: r["n"] for r in summary(told).collect()}
+
+
 def directives(lines: DataFrame, by: str = "url") -> DataFrame:
     """Per list a map of the `! Key: Value` lines that start it: keys in small letters, the last one of a key wins."""
     head = Window.partitionBy(by).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -50,6 +50,27 @@ def urls(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("raw").startswith("#") & (text.strip(F.col("raw")) != "")).select(text.strip(F.col("raw")).alias("url"))
 
 
+def write_by_file(lines: DataFrame, path: str) -> None:
+    """One text file per rule file, in folders file=<name>; lines: file, line_no, raw."""
+    lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "raw").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def purge(spark: SparkSession, folder: str) -> list[str]:
+    """Deletes the files of a folder that other steps left there; returns their names."""
+    found = spark.read.format("binaryFile").load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+    gone = file_operators.auxiliary(found, "name").where("purge").collect()  # one row per file
+    for r in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(r["path"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    return sorted(r["name"] for r in gone)
+
+
+def distinct_files(spark: SparkSession, folder: str) -> DataFrame:
+    """name, digest, group_size and kept of a folder's files, by content."""
+    found = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    return file_operators.content_dedup(found.withColumn("key", F.col("name")), "name", "content", "key").drop("key")
+
+
 def write_merged(merged: DataFrame, path: str) -> None:
     """One text file of the rules by pos, put in place of the old one by a rename.
 

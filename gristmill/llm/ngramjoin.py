@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import perhaps, rows_of, stored, table, without, worker_cache
-from gristmill.llm.components import components
+from gristmill.llm.common import discard, perhaps, rows_of, stored, table, without, worker_cache
+from gristmill.operators.components import components
 
 #: Sets of a block's part that are traversed together, and pivots of a block that meet all its parts (expected).
 BLOCK, PIVOTS = 64, 16
 FANOUT = 8
-CACHE_WORDS = 700_000
+CACHE_WORDS = 400_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -302,15 +302,16 @@ def members(docs: DataFrame, rows: DataFrame, blocks: DataFrame, words: int) ->
                 out = pa.RecordBatch.from_arrays([node, block, pa.array([x.tobytes() for x in got], pa.binary())], names=["node", "block", "set"])
                 yield out.filter(pa.array([x == y for x, y in zip(own, node.to_pylist(), strict=True)], pa.bool_()))  # another row of that id
 
-    return found.select("text", "node", "block").mapInArrow(sets, "node long, block long, set binary").dropDuplicates(["node"])
+    return found.select("text", "node", "block").mapInArrow(sets, "node long, block long, set binary")
 
 
 def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
     sizes = Sizes(threshold)
     every = stored(sets_of(docs, words, sizes), "sets")
-    rows = every.select("doc_id", "n", "node")
+    rows = stored(every.select("doc_id", "n", "node"), "rows")
     edges = stored(bucket_edges(every.where(F.size("signs") > 0).select("node", "signs")), "buckets")
+    discard(every)
     blocks = components(edges, "blocks").withColumnRenamed("root", "block")
     found = stored(members(docs, rows, stored(blocks, "blocks"), words), "members")
     total = stored(found.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "size")
@@ -324,7 +325,10 @@ def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFra
     large = total.where(F.col("size") > BLOCK).select("block", "size")
     if not large.isEmpty():
         first = first.union(_between_parts(found.join(large, "block"), components(first, "met"), threshold))
-    return rows, components(first, "linked")
+    roots = components(first, "linked")
+    for used in (found, total, edges):
+        discard(used)
+    return rows, roots
 
 
 def _between_parts(found: DataFrame, met: DataFrame, threshold: Fraction) -> DataFrame:
@@ -355,11 +359,12 @@ def _between_parts(found: DataFrame, met: DataFrame, threshold: Fraction) -> Dat
 def join(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links lead to)."""
     rows, roots = connected(docs, words, Fraction(threshold).limit_denominator(1000))
-    rooted = rows.join(stored(roots, "roots"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = stored(rooted, "rooted")
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = rooted.where("root is not null").join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return found.union(rooted.where("root is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("m"))
+    nodes = stored(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "nodes")
+    least = stored(nodes.groupBy("root").agg(F.min("m").alias("component_id")), "least")
+    met = stored(nodes.join(least, "root").select("node", "component_id"), "met")  # joins of two plain tables: a hot key can be split
+    found = rows.join(met, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return found.union(rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:

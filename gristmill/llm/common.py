@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.sources.shared import shared_dir, stored
+from gristmill.sources.shared import discard, shared_dir, stored
 
 __all__ = ["discard", "free_name", "one_thread", "perhaps", "rows_of", "shared_dir", "stored", "table", "without", "worker_cache"]
 
@@ -23,14 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def discard(table: DataFrame) -> None:
-    """Deletes the files of a stored table that nothing reads any more."""
-    jvm = table.sparkSession._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def free_name(docs: DataFrame, name: str) -> str:
     """name, with underscores until docs has no such column."""
     taken = {c.lower() for c in docs.columns}

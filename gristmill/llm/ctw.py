@@ -20,6 +20,7 @@ uniform over bytes and each token has probability one; other columns are ignored
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from hashlib import blake2b
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import rows_of, stored, table, worker_cache
+from gristmill.llm.common import discard, rows_of, stored, table, worker_cache
 
 DEPTH = 5
 CONTEXTS = 1 << 18
@@ -379,9 +380,9 @@ def score(docs: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS, common:
     words = stored(count_words(train), "words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent, least = common_words(words, common)
-    tree = fit_tree(stored(count_runs(train, depth), "runs"), depth, contexts)
-    import uuid
-
+    counted = stored(count_runs(train, depth), "runs")
+    tree = fit_tree(counted, depth, contexts)
+    discard(counted)
     rows = stored(rated(docs, Model(tree, frequent, uuid.uuid4().hex)), "rated")
     others = rows.select("_row", F.explode("rest").alias("key")).groupBy("_row", "key").agg(F.count(F.lit(1)).alias("m"))
     met = others.join(words.where(F.col("n") < least), "key", "left")

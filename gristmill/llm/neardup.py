@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, table
+from gristmill.llm.common import discard, stored, table
 from gristmill.operators.components import components
 
 THRESHOLD, NEIGHBOURS, TREES, LEAF, BLOCK = 0.95, 12, 6, 256, 128
@@ -124,6 +124,7 @@ def graph(rows: DataFrame, size: int, count: int, trees: range, threshold: float
     for _ in range(ROUNDS):
         after = stored(kept(lists.union(refined(rows, lists, size, least, most)), most), "lists")
         changed = after.join(lists, ["a", "b"], "left_anti").count()
+        discard(lists)
         lists = after
         if changed <= STILL * max(1, count):
             break
@@ -192,11 +193,11 @@ def audit(rows: DataFrame, links: DataFrame, size: int, count: int, threshold: f
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, most: int = NEIGHBOURS) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (the smallest vec_id that links lead to), kept."""
-    every = units(vectors)
+    every = stored(units(vectors), "units")
     lengths = [r[0] for r in every.select(F.size("u").alias("d")).groupBy("d").count().collect()]  # as many as there are lengths
     found = None
     for size in lengths:
-        rows = stored(every.where(F.size("u") == size), "units")
+        rows = every.where(F.size("u") == size)
         count = rows.count()
         lists = graph(rows, size, count, range(TREES), threshold, most)
         links = stored(links_of(rows, lists, threshold, most), "links")

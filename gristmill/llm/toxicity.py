@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import free_name, rows_of, stored, table
+from gristmill.llm.common import discard, free_name, rows_of, stored, table
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, in expectation.
 LABELLED_ROWS = 20_000
@@ -264,6 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scor
                 yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.list_(pa.float64())), toxic.slice(first, len(texts)), pa.array(part[first : first + len(texts)], pa.int32())], names=["sums", "toxic", "part"])
 
     got = picked.mapInArrow(features, "sums array<double>, toxic int, part int").toArrow()  # bounded by the sample
+    discard(picked)
     y, part = got["toxic"].to_numpy().astype(float), got["part"].to_numpy()
     if not len(y) or y.min() == y.max():
         return Scorer(full, None, None, float(y.mean()) if len(y) else 0.0)

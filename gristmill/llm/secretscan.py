@@ -151,7 +151,8 @@ def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> list[d
         split = {(t, k): v for t, f in enumerate(forest) for k, v in f.items() if v[0] is not None and k >> level == 1}
         if not split:
             break
-        table = grown.sparkSession.createDataFrame([(t, k, v[0], len([c for c in cuts[v[0]] if c < v[1]])) for (t, k), v in sorted(split.items())], "tree int, node int, f int, cut int")
+        values = ", ".join(f"({t}, {k}, {v[0]}, {len([c for c in cuts[v[0]] if c < v[1]])})" for (t, k), v in sorted(split.items()))
+        table = grown.sparkSession.sql(f"select * from values {values} as t(tree, node, f, cut)")
         moved = grown.join(F.broadcast(table), ["tree", "node"])  # rows of nodes that are split
         grown = moved.select("label", "id", "b", "tree", "w", (F.col("node") * 2 + (F.get("b", F.col("f")) > F.col("cut")).cast("int")).alias("node"))
     return forest

@@ -316,7 +316,7 @@ def _context(spark, sf_dir, without_pairs: bool = False):
         rows = rows.where("pos % 16 <> 14")
     entries = stored(merge.host_entries(rows, idna=False, ipv6=False), "hosts")
     flags = merge.decided(rows.where("kind in ('abp', 'plain')").select("norm").union(entries.select("norm")), merge.rule_sets(rows, idna=False))
-    return rows, entries, flags
+    return rows, entries, stored(flags, "flags")
 
 
 @query(f"with {CLASSIFIED}, {HOST_ENTRIES}, {FLAGS} select pos, rule from k join flags using (norm) where kind = 'abp' and not allow and bare and (abp_parent or (wildcard and abp_self) or wc_parent)")

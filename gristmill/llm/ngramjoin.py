@@ -1,13 +1,16 @@
 """N-gram Jaccard join by signature trees.
 
 1. Every text becomes a set of 64-bit shingle hashes; texts with the same set are one node.
-2. Blocks: two linked sets of sizes a <= b differ in at most E = (a + b)(1 - t) / (1 + t) shingles. Cut the hash range
-   into E + 2 parts: at least two parts hold the same shingles in both sets. So sets that agree in no part can't link, and
-   the sets of a part's agreement form a bucket. Buckets that share sets form blocks; nothing is lost by this.
-3. In a block, a signature tree over the sets: a node holds the OR of its sets' token bitmaps and their size range. A
+2. Suspects: a set that links has at least t of its shingles in common with one other set. All shingles are dealt by
+   ranges of the hash, as packed arrays; a range tells which of its shingles stand in several sets; sets with too few of
+   those are out. Only the others, few of a clean corpus, are looked at again.
+3. Blocks: of two sets that link, one of the rarest shingles of the first (all but t of it, and one more) is among those of
+   the second, by any order of the shingles. Frequent ones are last in the order, so passages that many texts share
+   put few sets together. Sets that share one of their rarest shingles form blocks; nothing is lost by this.
+4. In a block, a signature tree over the sets: a node holds the OR of its sets' token bitmaps and their size range. A
    dual traversal of the tree with itself drops pairs of nodes whose sizes are too far apart or whose largest possible
    overlap is too small, and pairs of nodes that are connected already; pairs of sets left over are compared exactly.
-4. A block of more than BLOCK sets is cut into random parts. Each part is traversed together with some pivots of the
+5. A block of more than BLOCK sets is cut into random parts. Each part is traversed together with some pivots of the
    block; the sets that are then connected are dealt together, and only pairs of parts that aren't wholly of one
    component are traversed. So a huge group of near copies costs its size times the pivots, not its square.
 
@@ -26,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import discard, perhaps, rows_of, stored, table, without, worker_cache
@@ -35,8 +38,12 @@ from gristmill.operators.components import components
 #: Sets of a block's part that are traversed together, and pivots of a block that meet all its parts (expected).
 BLOCK, PIVOTS = 64, 16
 FANOUT = 8
-CACHE_WORDS = 400_000
-_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
+CACHE_WORDS = 200_000
+#: Sets and shingles of a chunk at most (shingles: and one slice of texts); shingles of a range.
+CHUNK_SETS, CHUNK_SHINGLES, RANGE_SHINGLES = 1 << 16, 1_200_000, 4_000_000
+#: Edges that a task holds before it contracts them.
+HELD_EDGES = 1_000_000
+_A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -68,95 +75,146 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(h)
 
 
-class Sizes:
-    """Classes of set sizes for a threshold; the parts of each."""
-
-    def __init__(self, threshold: Fraction):
-        self.t = threshold
-        self.slack = (1 - threshold) / (1 + threshold)
-        first = next(n for n in range(1, 10_000) if (2 * n + 1) * self.slack >= 1)
-        self.least = max(1, first)  # smaller sets link with equal ones only
-        ratio = 1 + float(1 / threshold - 1) * 3.5
-        bounds = [self.least]
-        while bounds[-1] < 1 << 40:
-            bounds.append(max(int(bounds[-1] * ratio), int(bounds[-1] / threshold) + 2))
-        self.bounds = np.array(bounds, dtype=np.int64)
-        self.most = np.array([int(2 * (int(b) - 1) * self.slack) for b in bounds[1:]], dtype=np.int64)  # differing shingles
-
-    def classes(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(set, class) pairs: the class of its size, and the next if the largest partner is there."""
-        own = np.searchsorted(self.bounds, n, side="right") - 1
-        ok = own >= 0
-        reach = np.searchsorted(self.bounds, (n * self.t.denominator) // self.t.numerator, side="right") - 1
-        two = ok & (reach > own)
-        at = np.arange(len(n))
-        return np.concatenate([at[ok], at[two]]), np.concatenate([own[ok], own[two] + 1])
-
-    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(set, signature): equal signatures of a class and part mean the same shingles in the part.
-
-        Empty parts are left out unless a set has so many that all its agreement with a partner could be there.
-        """
-        n = np.array([len(s) for s in sets], dtype=np.int64)
-        which, size_class = self.classes(n)
-        if not len(which):
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        parts = self.most[size_class] + 2
-        h = np.concatenate([sets[k] for k in which])
-        lengths = n[which]
-        first_part = np.concatenate([[0], np.cumsum(parts)[:-1]])
-        owner = np.repeat(np.arange(len(which)), lengths)
-        part = ((h >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64) + first_part[owner]
-        start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        total = np.add.reduceat(mixed(h + _C), start)
-        part, owner = part[start], owner[start]
-        empty = parts - np.bincount(owner, minlength=len(which))
-        for k in np.flatnonzero(empty >= parts - self.most[size_class]):
-            own = np.setdiff1d(np.arange(first_part[k], first_part[k] + parts[k]), part[owner == k])
-            part, owner, total = np.r_[part, own], np.r_[owner, np.full(len(own), k)], np.r_[total, np.zeros(len(own), np.uint64)]
-        tag = size_class[owner].astype(np.uint64) << np.uint64(40) | (part - first_part[owner]).astype(np.uint64)
-        return which[owner], mixed(total * _A + mixed(tag + _B))
-
-
 def node_of(found: np.ndarray) -> int:
     return int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def sets_of(docs: DataFrame, words: int, sizes: Sizes) -> DataFrame:
-    """doc_id, n, node and the signatures, which a task gives for the first row of a node that it meets."""
+def nodes_of(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n and node of every row; a null node without shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches):
-        seen: set[int] = set()
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for first, texts in rows_of(batch, "text"):
                 found = [shingles(t, words) for t in texts]
                 nodes = [node_of(x) if len(x) else None for x in found]
-                new = []
-                for k, x in enumerate(nodes):
-                    if x is not None and x not in seen:
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(texts)), pa.array([len(x) for x in found], pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "n", "node"])
+
+    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n long, node long")
+
+
+# ---------------------------------------------------------------- suspects
+
+
+def _dealt(docs: DataFrame, words: int, ranges: int) -> DataFrame:
+    """All shingles by range: rows (range, chunk, a, b) of 32-bit hashes a and 16-bit numbers b of the sets in the chunk.
+
+    A chunk is up to CHUNK_SETS sets of a task, each node once; a row with a negative range has its nodes and sizes.
+    """
+
+    def scan(batches):
+        from pyspark import TaskContext
+
+        chunk = (TaskContext.get().partitionId() << 24) - 1
+        seen: set[int] = set()
+        held: list[np.ndarray] = []
+        names: list[int] = []
+        for batch in batches:
+            for _, texts in rows_of(batch, "text"):
+                for t in texts:
+                    found = shingles(t, words)
+                    node = node_of(found)
+                    if len(found) and node not in seen:
                         if len(seen) > 1_000_000:
                             seen.clear()
-                        seen.add(x)
-                        new.append(k)
-                owner, value = sizes.signatures([found[k] for k in new])
-                order = np.argsort(owner, kind="stable")
-                count = np.bincount(owner, minlength=len(new))
-                per_row = np.zeros(len(texts), dtype=np.int64)
-                per_row[new] = count
-                offsets = pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32())
-                signs = pa.ListArray.from_arrays(offsets, pa.array(value[order].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(texts)), pa.array([len(x) for x in found], pa.int64()), pa.array(nodes, pa.int64()), signs], names=["doc_id", "n", "node", "signs"])
-
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n long, node long, signs array<long>")
+                        seen.add(node)
+                        held.append(found)
+                        names.append(node)
+                    if len(held) == CHUNK_SETS:
+                        chunk += 1
+                        yield packed(held, names, chunk)
+                        held, names = [], []
+                if sum(map(len, held)) > CHUNK_SHINGLES:
+                    chunk += 1
+                    yield packed(held, names, chunk)
+                    held, names = [], []
+        if held:
+            yield packed(held, names, chunk + 1)
+
+    def packed(held, names, chunk):
+        h = np.concatenate(held)
+        size = np.array([len(x) for x in held], dtype=np.uint32)
+        owner = np.repeat(np.arange(len(held), dtype=np.uint16), size)
+        part = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.uint16 if ranges < 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable")
+        part, low, owner = part[order], h[order].astype(np.uint32), owner[order]
+        start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        stop = np.r_[start[1:], len(part)]
+        a = [np.array(names, dtype=np.int64).tobytes(), *(low[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
+        b = [size.tobytes(), *(owner[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
+        return pa.RecordBatch.from_pydict({"range": pa.array([-1 - chunk % ranges, *part[start].tolist()], pa.int32()), "chunk": pa.array([chunk] * len(a), pa.int64()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return docs.select("text").mapInArrow(scan, "range int, chunk long, a binary, b binary")
+
+
+def _shared_in_range(g: pd.DataFrame) -> pd.DataFrame:
+    """Of a range: for each chunk, how many shingles of a set stand in another set too; nodes and sizes pass through."""
+    if g["range"].iloc[0] < 0:
+        return g[["chunk", "a", "b"]].assign(counts=False)
+    a = [np.frombuffer(x, dtype=np.uint32) for x in g["a"]]
+    low, owner = np.concatenate(a), np.concatenate([np.frombuffer(x, dtype=np.uint16) for x in g["b"]])
+    source = np.repeat(np.arange(len(a), dtype=np.int64), [len(x) for x in a])
+    order = np.argsort(low)
+    same = low[order][1:] == low[order][:-1]
+    twice = order[np.r_[False, same] | np.r_[same, False]]
+    key, n = np.unique(source[twice] << 16 | owner[twice], return_counts=True)
+    out = []
+    for k in np.unique(key >> 16).tolist():
+        own = (key >> 16) == k
+        out.append((int(g["chunk"].iloc[k]), (key[own] & 0xFFFF).astype(np.uint16).tobytes(), n[own].astype(np.uint32).tobytes(), True))
+    return pd.DataFrame(out, columns=["chunk", "a", "b", "counts"])
+
+
+def suspects(docs: DataFrame, words: int, t: Fraction, total: int) -> DataFrame:
+    """The nodes that have at least t of their shingles in common with others; total: shingles of all sets."""
+    ranges = max(64, -(-total // RANGE_SHINGLES))
+    shared = _dealt(docs, words, ranges).groupBy("range").applyInPandas(_shared_in_range, "chunk long, a binary, b binary, counts boolean")
+    p, q = t.numerator, t.denominator
+
+    def summed(g: pd.DataFrame) -> pd.DataFrame:
+        names = g[~g["counts"].astype(bool)].iloc[0]
+        nodes, size = np.frombuffer(names["a"], dtype=np.int64), np.frombuffer(names["b"], dtype=np.uint32).astype(np.int64)
+        n = np.zeros(len(nodes), dtype=np.int64)
+        for a, b, counts in zip(g["a"], g["b"], g["counts"], strict=True):
+            if counts:
+                n[np.frombuffer(a, dtype=np.uint16)] += np.frombuffer(b, dtype=np.uint32)
+        return pd.DataFrame({"node": nodes[n * q >= p * size]})
+
+    return shared.groupBy("chunk").applyInPandas(summed, "node long").distinct()
+
+
+# ---------------------------------------------------------------- blocks
+
+
+def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the given ones connect: each node with the least of its component."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for x in (a, b, label[a], label[b]):
+            np.minimum.at(new, x, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]
 
 
 def bucket_edges(rows: DataFrame) -> DataFrame:
-    """Edges u, v that join the nodes of each bucket to its least node."""
+    """Edges u, v that connect the nodes of each bucket.
+
+    A task contracts the edges of its buckets to a spanning forest, so that few rows are left of the many buckets that
+    near copies share; above HELD_EDGES it sends on what it has.
+    """
 
     def scan(batches):
         last, head = None, 0
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
             sign, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             if not len(sign):
@@ -166,12 +224,37 @@ def bucket_edges(rows: DataFrame) -> DataFrame:
             group = np.cumsum(start)
             lead = np.r_[head, heads[start]][group]
             last, head = sign[-1], lead[-1]
-            pair = np.unique(np.column_stack([node, lead])[node != lead], axis=0)
-            if len(pair):
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["u", "v"])
+            other = node != lead
+            held = (np.concatenate([held[0], node[other]]), np.concatenate([held[1], lead[other]]))
+            if len(held[0]) > HELD_EDGES:
+                held = spanning(*held)
+                if len(held[0]) > HELD_EDGES // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["u", "v"])
+                    held = (held[0][:0], held[1][:0])
+        held = spanning(*held)
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["u", "v"])
+
+    return rows.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(scan, "u long, v long").distinct()
+
+
+def rarest(found: DataFrame, t: Fraction) -> DataFrame:
+    """sign, node: of each set (node, set) the shingles of its prefix that stand in other sets too, by their number of sets."""
+
+    def spread(batches):
+        for batch in batches:
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h = np.frombuffer(raw, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), node)), pa.array(np.full(len(h), len(h))), pa.array(h)], names=["node", "n", "sign"])
 
-    signs = rows.select(F.explode("signs").alias("sign"), "node")
-    return signs.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(scan, "u long, v long").distinct()
+    every = found.select("node", "set").mapInArrow(spread, "node long, n long, sign long")
+    often = stored(every.groupBy("sign").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "often")
+    both = every.join(often, "sign")
+    own = Window.partitionBy("node")
+    both = both.withColumn("k", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("sets", "sign")))
+    # shingles that no other set has come first in the order: n - k of them; the prefix has n - ceil(t n) + 1
+    least = F.expr(f"({t.numerator} * n + {t.denominator - 1}) div {t.denominator}")
+    return both.where(F.col("r") <= F.col("k") - least + 1).select("sign", "node")
 
 
 # ---------------------------------------------------------------- signature trees
@@ -282,13 +365,12 @@ def _links(rows: DataFrame, keys: list[str], t: Fraction) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 
-def members(docs: DataFrame, rows: DataFrame, blocks: DataFrame, words: int) -> DataFrame:
-    """node, block and set of the nodes in blocks, from one of their texts each.
+def members(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node and set of the wanted nodes, from one of their texts each.
 
     Buckets of the wanted ids spare most texts the shuffle; the join decides.
     """
-    wanted = rows.join(blocks, "node").groupBy("node", "block").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(wanted, "wanted")
+    wanted = stored(rows.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
     found = perhaps(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id")
 
     def sets(batches):
@@ -296,37 +378,34 @@ def members(docs: DataFrame, rows: DataFrame, blocks: DataFrame, words: int) ->
             for first, texts in rows_of(batch, "text"):
                 got = [shingles(t, words) for t in texts]
                 own = [node_of(x) for x in got]
-                n = len(texts)
-                node = batch.column(batch.schema.get_field_index("node")).slice(first, n)
-                block = batch.column(batch.schema.get_field_index("block")).slice(first, n)
-                out = pa.RecordBatch.from_arrays([node, block, pa.array([x.tobytes() for x in got], pa.binary())], names=["node", "block", "set"])
+                node = batch.column(batch.schema.get_field_index("node")).slice(first, len(texts))
+                out = pa.RecordBatch.from_arrays([node, pa.array([x.tobytes() for x in got], pa.binary())], names=["node", "set"])
                 yield out.filter(pa.array([x == y for x, y in zip(own, node.to_pylist(), strict=True)], pa.bool_()))  # another row of that id
 
-    return found.select("text", "node", "block").mapInArrow(sets, "node long, block long, set binary")
+    return found.select("text", "node").mapInArrow(sets, "node long, set binary")
 
 
 def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
-    sizes = Sizes(threshold)
-    every = stored(sets_of(docs, words, sizes), "sets")
-    rows = stored(every.select("doc_id", "n", "node"), "rows")
-    edges = stored(bucket_edges(every.where(F.size("signs") > 0).select("node", "signs")), "buckets")
-    discard(every)
-    blocks = components(edges, "blocks").withColumnRenamed("root", "block")
-    found = stored(members(docs, rows, stored(blocks, "blocks"), words), "members")
-    total = stored(found.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "size")
+    rows = stored(nodes_of(docs, words), "rows")
+    shingles_ = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sets = stored(members(docs, rows, suspects(docs, words, threshold, shingles_), words).dropDuplicates(["node"]), "sets")
+    edges = stored(bucket_edges(rarest(sets, threshold)), "buckets")
+    blocks = stored(components(edges, "blocks").withColumnRenamed("root", "block"), "blocks")
+    total = stored(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "size")
+    found = stored(sets.join(blocks.join(total, "block"), "node"), "members")
+    discard(sets)
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = found.join(total, "block").withColumn("parts", parts)
+    dealt = found.withColumn("parts", parts)
     own = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("start", F.col("node"))
     pivots = dealt.where(F.col("parts") > 1).where(F.pmod(F.xxhash64(F.lit(7), "node"), "size") < PIVOTS)
     pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("start", F.col("node"))
     columns = ["block", "part", "node", "set", "start"]
     first = stored(_links(own.select(columns).union(pivots.select(columns)), ["block", "part"], threshold), "links")
-    large = total.where(F.col("size") > BLOCK).select("block", "size")
-    if not large.isEmpty():
-        first = first.union(_between_parts(found.join(large, "block"), components(first, "met"), threshold))
+    if not total.where(F.col("size") > BLOCK).isEmpty():
+        first = first.union(_between_parts(found.where(F.col("size") > BLOCK), components(first, "met"), threshold))
     roots = components(first, "linked")
-    for used in (found, total, edges):
+    for used in (found, total, blocks, edges):
         discard(used)
     return rows, roots
 

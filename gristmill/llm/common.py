@@ -69,10 +69,12 @@ def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that a Python worker keeps from task to task."""
+    """A dict that a Python worker keeps from task to task, until another operator asks for its own."""
     import builtins
 
     kept = builtins.__dict__.setdefault("_gristmill_kept", {})
+    if name not in kept:
+        kept.clear()
     return kept.setdefault(name, {})
 
 

@@ -25,7 +25,7 @@ CAPACITY, END_ID = 4096, 1
 #: Parts into which the pieces of one length are dealt, so that a very common length is no single group.
 SALTS = 64
 #: Entries of a worker's cache of pre-tokens, after which it starts anew.
-CACHE_PARTS = 1_000_000
+CACHE_PARTS = 700_000
 #: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.
 _LETTERS = "a-zß-öø-įĵ-ķĺ-ň"
 _SIMPLE = re.compile(f"[\t-\r -~À-ÖØ-öø-įĴ-ķĹ-ň]*").fullmatch

@@ -54,7 +54,7 @@ class Lexicon:
     def __call__(self, word: str) -> int:
         """1: a word of the lexicon, 2: begins like one, 0: neither."""
         if (found := self.known.get(word)) is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             found = 1 if word in self.words else 2 if any(word[:k] in self.starts for k in BEGINNINGS) else 0
             self.known[word] = found

@@ -53,18 +53,25 @@ def test_empty_null_and_repeated_ids(spark):
     assert len(got) == 5 and sum(r["component_id"] == 7 for r in got) == 4
 
 
-def test_parts_lose_no_pair():
-    """Any two sets that link share a signature."""
-    rng = np.random.default_rng(2)
-    for t in (Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)):
-        sizes = ngramjoin.Sizes(t)
-        for n in [*range(1, 60), 200, 1000]:
-            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-            for extra in range(0, n):
-                drop = rng.integers(0, extra + 1)
-                b = np.unique(np.r_[a[drop:], rng.integers(0, 2**63, extra - drop).astype(np.uint64)])
-                both = len(np.intersect1d(a, b))
-                if not len(b) or both * t.denominator < t.numerator * (len(a) + len(b) - both) or both == len(a) == len(b):
-                    break
-                owner, sign = sizes.signatures([a, b])
-                assert set(sign[owner == 0]) & set(sign[owner == 1]), (t, n, extra)
+def test_suspects_in_many_chunks(spark, monkeypatch):
+    """Sets are counted across chunks and ranges."""
+    texts = [*ODD, *near_copies(11, 25)]
+    monkeypatch.setattr(ngramjoin, "CHUNK_SETS", 3)
+    monkeypatch.setattr(ngramjoin, "RANGE_SHINGLES", 5)
+    t = Fraction(4, 5)
+    docs = documents(spark, texts).repartition(3)
+    s = sets_of(texts, 3)
+    alike = {k for k in range(len(s)) if s[k] and sum(any(g in o for j, o in enumerate(s) if o != s[k]) for g in s[k]) >= t * len(s[k])}
+    rows = ngramjoin.nodes_of(docs, 3).collect()
+    got = {r["node"] for r in ngramjoin.suspects(docs, 3, t, 1000).collect()}
+    assert {r["node"] for r in rows if r["doc_id"] in alike} <= got
+    assert not {r["node"] for r in rows if r["node"] and r["doc_id"] not in alike and sum(x["node"] == r["node"] for x in rows) == 1} & got
+
+
+def test_spanning():
+    rng = np.random.default_rng(0)
+    for n, m in ((1, 0), (10, 5), (1000, 400), (1000, 900)):
+        u, v = rng.integers(0, n, m), rng.integers(0, n, m)
+        a, b = ngramjoin.spanning(u, v)
+        root = groups(set(u.tolist()) | set(v.tolist()), zip(u.tolist(), v.tolist(), strict=True))
+        assert dict(zip(a.tolist(), b.tolist(), strict=True)) == {k: r for k, r in root.items() if k != r}

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from gristmill.sources.shared import discard, shared_dir, stored
 
-__all__ = ["discard", "free_name", "one_thread", "perhaps", "rows_of", "shared_dir", "stored", "table", "without", "worker_cache"]
+__all__ = ["discard", "free_name", "one_thread", "perhaps", "released", "rows_of", "shared_dir", "small_batches", "stored", "table", "without", "worker_cache"]
 
 #: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
 ID_BUCKETS = 1 << 20
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 2000
 #: Bytes of text that Python code holds as objects at once, beside the Arrow batch.
 SLICE_BYTES = 4 << 20
 
@@ -53,6 +55,25 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return far.union(near.join(gone, near["doc_id"].eqNullSafe(gone[name]), "left_anti"))
 
 
+def released() -> None:
+    """Gives a worker's free memory back to the system; idle workers would keep it from those of other stages."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """docs; its texts go to Python BATCH_ROWS at a time, unless the session sets another number than the default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if docs.sparkSession.conf.get(key, "10000") == "10000":
+        docs.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list]]:
     """Slices of a string or binary column as (first row, bytes or None), each of max_bytes or one value."""
     values = batch.column(batch.schema.get_field_index(column))
@@ -66,6 +87,7 @@ def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
             stop += 1
         yield start, values.slice(start, stop - start).to_pylist()
         start = stop
+    released()
 
 
 def worker_cache(name: str) -> dict:

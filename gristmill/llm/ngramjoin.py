@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import discard, perhaps, rows_of, stored, table, without, worker_cache
+from gristmill.llm.common import discard, perhaps, rows_of, small_batches, stored, table, without, worker_cache
 from gristmill.operators.components import components
 
 #: Sets of a block's part that are traversed together, and pivots of a block that meet all its parts (expected).
@@ -387,7 +387,7 @@ def members(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) ->
 
 def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
-    rows = stored(nodes_of(docs, words), "rows")
+    rows = stored(nodes_of(small_batches(docs), words), "rows")
     shingles_ = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sets = stored(members(docs, rows, suspects(docs, words, threshold, shingles_), words).dropDuplicates(["node"]), "sets")
     edges = stored(bucket_edges(rarest(sets, threshold)), "buckets")

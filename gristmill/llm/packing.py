@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import one_thread, rows_of, stored, table, worker_cache
+from gristmill.llm.common import one_thread, rows_of, small_batches, stored, table, worker_cache
 
 CAPACITY, END_ID = 4096, 1
 #: Parts into which the pieces of one length are dealt, so that a very common length is no single group.
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(cut, schema)
 
 
 class Instance:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import discard, free_name, rows_of, stored, table
+from gristmill.llm.common import discard, free_name, rows_of, small_batches, stored, table
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, in expectation.
 LABELLED_ROWS = 20_000
@@ -293,7 +293,7 @@ def scored(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
             found = [model.value(texts) for _, texts in rows_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*found, []]), pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(score, StructType([*docs.schema, StructField(name, DoubleType())]))
+    return small_batches(docs).mapInArrow(score, StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

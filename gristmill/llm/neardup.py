@@ -5,7 +5,9 @@ around every vector, its neighbours and some that have it as theirs, compares th
 each (Dong, Moses and Li 2011). Entries far below the threshold are not kept, so vectors without company cost little.
 Rounds end when next to nothing changes. Entries at the threshold or above are links.
 
-A vector whose K entries all are links is saturated. Its list is then enlarged to its whole component of links: the
+Equal vectors are collapsed first and counted by their number. A vector whose K entries all are links is saturated, and
+may have more links than its list holds. Those that lead to other components are searched apart: lists of the best K
+vectors of other components, until no link between two components is new. Those within its component are counted: the
 members are compared in blocks, and only the numbers of links kept. An audit compares a sample of vectors with all others
 and counts which of their links were found; below AUDIT_RECALL, more trees and rounds follow.
 
@@ -44,29 +46,37 @@ def units(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min(F.transform("e", lambda x: x / F.col("norm"))).alias("u"))
 
 
+def collapsed(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct vector: vec_id (the smallest), u, m (how many are equal), root (itself); and vec_id, first of all."""
+    distinct = stored(every.groupBy("u").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("m")), "distinct")
+    several = distinct.where("m > 1").select("u", F.col("vec_id").alias("first"))
+    first = every.join(several, "u", "left").select("vec_id", F.coalesce("first", "vec_id").alias("first"))
+    return distinct.select("vec_id", "u", "m", F.col("vec_id").alias("root")), stored(first, "first")
+
+
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
 def leaves(rows: DataFrame, size: int, bits: int, trees: range) -> DataFrame:
-    """vec_id, u, tree and leaf: the signs of a tree's hyperplanes."""
+    """vec_id, root, u, tree and leaf: the signs of a tree's hyperplanes."""
 
     def run(batches):
         planes = {t: np.random.default_rng(7919 * t + 1).standard_normal((size, bits)) for t in trees}
         for batch in batches:
-            x = _matrix(batch.column(1), size)
+            x = _matrix(batch.column(2), size)
             for t in trees:
                 code = ((x @ planes[t] > 0) << np.arange(bits)).sum(axis=1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.full(len(x), t), pa.int32()), pa.array(code)], names=["vec_id", "u", "tree", "leaf"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(x), t), pa.int32()), pa.array(code)], names=["vec_id", "root", "u", "tree", "leaf"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"vec_id {kind}, u array<double>, tree int, leaf long")
+    return rows.select("vec_id", "root", "u").mapInArrow(run, f"vec_id {kind}, root {kind}, u array<double>, tree int, leaf long")
 
 
-def _best(ids: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFrame:
-    """For each row of x its best `most` others at `least` or above."""
+def _best(ids: np.ndarray, roots: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFrame:
+    """For each row of x its best `most` of other roots at `least` or above."""
     s = x @ x.T
-    np.fill_diagonal(s, -2)
+    s[roots[:, None] == roots[None, :]] = -2
     k = min(most, len(ids) - 1)
     if k < 1:
         return pd.DataFrame({"a": [], "b": [], "s": []})
@@ -84,7 +94,7 @@ def start(rows: DataFrame, size: int, count: int, trees: range, least: float, mo
     parts = found.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
     dealt = found.join(parts, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "tree"), "parts"))
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return dealt.select("tree", "leaf", "part", "vec_id", "u").groupBy("tree", "leaf", "part").applyInPandas(lambda g: _best(g["vec_id"].to_numpy(), np.stack(g["u"]), least, most), f"a {kind}, b {kind}, s double")
+    return dealt.select("tree", "leaf", "part", "vec_id", "root", "u").groupBy("tree", "leaf", "part").applyInPandas(lambda g: _best(g["vec_id"].to_numpy(), g["root"].to_numpy(), np.stack(g["u"]), least, most), f"a {kind}, b {kind}, s double")
 
 
 def kept(entries: DataFrame, most: int) -> DataFrame:
@@ -94,35 +104,41 @@ def kept(entries: DataFrame, most: int) -> DataFrame:
     return once.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r")
 
 
-def refined(rows: DataFrame, lists: DataFrame, size: int, least: float, most: int) -> DataFrame:
-    """Entries among the neighbours of each vector, forward and back (at most `most` back, chosen by hash)."""
+def _around(lists: DataFrame, most: int) -> DataFrame:
+    """a, b: the neighbours of each vector, forward and back (at most `most` back, chosen by hash)."""
     back = lists.select(F.col("b").alias("a"), F.col("a").alias("b"))
     some = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("b", "a")))
-    around = lists.select("a", "b").union(back.withColumn("_r", some).where(F.col("_r") <= most).drop("_r"))
-    around = around.union(lists.select("a", F.col("a").alias("b"))).distinct()
-    members = around.join(rows.select(F.col("vec_id").alias("b"), "u"), "b")
-    groups = members.groupBy("a").agg(F.collect_list("b").alias("ids"), F.flatten(F.collect_list("u")).alias("x"))  # at most 2 * most + 1 of each
+    return lists.select("a", "b").union(back.withColumn("_r", some).where(F.col("_r") <= most).drop("_r"))
+
+
+def refined(rows: DataFrame, lists: DataFrame, size: int, least: float, most: int, own: DataFrame | None = None) -> DataFrame:
+    """Entries among the neighbours of each vector, those by the lists `own` too; each member gives its best `most`."""
+    around = _around(lists, most).union(lists.select("a", F.col("a").alias("b")))
+    if own is not None:
+        around = around.union(_around(own, most))
+    members = around.distinct().join(rows.select(F.col("vec_id").alias("b"), "root", "u"), "b")
+    groups = members.groupBy("a").agg(F.collect_list("b").alias("ids"), F.collect_list("root").alias("roots"), F.flatten(F.collect_list("u")).alias("x"))  # at most 2 * most + 1 of each, or 4 * most + 1
 
     def run(batches):
         for batch in batches:
-            flat, ids = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, size), batch.column(0)
-            names, bounds = ids.flatten(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
-            names = names.to_numpy(zero_copy_only=False)
-            out = [_best(names[a:b], flat[a:b], least, 4) for a, b in zip(bounds, bounds[1:], strict=False)]
+            ids, flat = batch.column(0), batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            bounds = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+            names, roots = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (0, 1))
+            out = [_best(names[a:b], roots[a:b], flat[a:b], least, most) for a, b in zip(bounds, bounds[1:], strict=False)]
             if out:
                 yield pa.RecordBatch.from_pandas(pd.concat(out).astype({"a": names.dtype, "b": names.dtype, "s": float}).drop_duplicates(["a", "b"]), preserve_index=False)
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return groups.select("ids", "x").mapInArrow(run, f"a {kind}, b {kind}, s double")
+    return groups.select("ids", "roots", "x").mapInArrow(run, f"a {kind}, b {kind}, s double")
 
 
-def graph(rows: DataFrame, size: int, count: int, trees: range, threshold: float, most: int, before: DataFrame | None = None) -> DataFrame:
-    """Neighbour lists (a, b, s) after the rounds."""
+def graph(rows: DataFrame, size: int, count: int, trees: range, threshold: float, most: int, before: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
+    """Neighbour lists (a, b, s) after the rounds; neighbours are of other roots."""
     least = threshold - MARGIN
     first = start(rows, size, count, trees, least, most)
     lists = stored(kept(first if before is None else first.union(before), most), "lists")
     for _ in range(ROUNDS):
-        after = stored(kept(lists.union(refined(rows, lists, size, least, most)), most), "lists")
+        after = stored(kept(lists.union(refined(rows, lists, size, least, most, own)), most), "lists")
         changed = after.join(lists, ["a", "b"], "left_anti").count()
         discard(lists)
         lists = after
@@ -131,42 +147,66 @@ def graph(rows: DataFrame, size: int, count: int, trees: range, threshold: float
     return lists
 
 
+def bridged(rows: DataFrame, lists: DataFrame, size: int, trees: range, threshold: float, most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b), components (vec_id, root) and saturated vectors (vec_id).
+
+    A link is in neither list only if both its vectors are saturated; it matters to the components only if they differ.
+    So the saturated ones get lists of vectors of other components, again after each merge, until no link is new.
+    """
+    edges = stored(lists.where(F.col("s") >= threshold).select("a", "b"), "edges")
+    full = stored(edges.groupBy("a").count().where(F.col("count") >= most).select(F.col("a").alias("vec_id")), "full")
+    crowd = stored(rows.join(full, "vec_id").select("vec_id", "u"), "crowd")
+    count = crowd.count()
+    own = stored(lists.join(full.select(F.col("vec_id").alias("a")), "a", "left_semi").join(full.select(F.col("vec_id").alias("b")), "b", "left_semi"), "own")
+    while True:
+        found = stored(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), "near"), "near")
+        found = found.select(F.col("node").alias("vec_id"), "root")
+        apart = stored(crowd.join(found, "vec_id"), "apart")
+        if apart.select("root").distinct().limit(2).count() < 2:
+            return edges, found, full
+        foreign = graph(apart, size, count, trees, threshold, most, own=own)
+        new = foreign.where(F.col("s") >= threshold).select("a", "b")
+        if new.isEmpty():
+            return edges, found, full
+        edges = stored(edges.union(new), "edges")
+
+
 def enlarged(rows: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """vec_id, n: numbers of links within components (vec_id, root, size), compared in blocks of BLOCK vectors."""
+    """vec_id, n: numbers of links within components (vec_id, root, size), compared in blocks of BLOCK distinct vectors."""
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")).join(rows, "vec_id")
+    own = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")).join(rows.select("vec_id", "u", "m"), "vec_id")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    pairs = own.withColumn("other", other).select("root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), (F.col("part") <= F.col("other")).cast("int").alias("first"), "vec_id", "u")
+    pairs = own.withColumn("other", other).select("root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), (F.col("part") <= F.col("other")).cast("int").alias("first"), "vec_id", "u", "m")
 
     def count(g: pd.DataFrame) -> pd.DataFrame:
-        ids, x = g["vec_id"].to_numpy(), np.stack(g["u"])
+        ids, x, m = g["vec_id"].to_numpy(), np.stack(g["u"]), g["m"].to_numpy()
         if g["p"].iloc[0] == g["q"].iloc[0]:
             s = x @ x.T
             np.fill_diagonal(s, -2)
-            n = (s >= threshold).sum(axis=1)
+            n = (s >= threshold) @ m
         else:
             a = g["first"].to_numpy() == 1
             s = x[a] @ x[~a].T >= threshold
             n = np.zeros(len(ids), dtype=np.int64)
-            n[a], n[~a] = s.sum(axis=1), s.sum(axis=0)
+            n[a], n[~a] = s @ m[~a], m[a] @ s
         return pd.DataFrame({"vec_id": ids, "n": n})
 
     kind = rows.schema["vec_id"].dataType.simpleString()
     return pairs.groupBy("root", "p", "q").applyInPandas(count, f"vec_id {kind}, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
 
 
-def links_of(rows: DataFrame, lists: DataFrame, threshold: float, most: int) -> DataFrame:
-    """vec_id, n_links, root of the vectors with links."""
-    edges = stored(lists.where(F.col("s") >= threshold), "edges")
-    found = stored(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), "near"), "near")
-    found = found.select(F.col("node").alias("vec_id"), "root")
-    full = edges.groupBy("a").count().where(F.col("count") >= most).select(F.col("a").alias("vec_id"))
+def links_of(rows: DataFrame, lists: DataFrame, size: int, trees: range, threshold: float, most: int) -> DataFrame:
+    """vec_id, n_links, root of the distinct vectors with links; equal vectors count."""
+    edges, found, full = bridged(rows, lists, size, trees, threshold, most)
     sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     wide = sizes.join(found.join(full, "vec_id").select("root").distinct(), "root")
     large = stored(found.join(wide, "root"), "large")
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    few = both.groupBy(F.col("a").alias("vec_id")).agg(F.count(F.lit(1)).alias("n")).join(large, "vec_id", "left_anti")
-    return found.join(few.union(enlarged(rows, large, threshold)), "vec_id").select("vec_id", F.col("n").alias("n_links"), "root")
+    short = both.join(large.select(F.col("vec_id").alias("a")), "a", "left_anti")
+    few = short.join(rows.select(F.col("vec_id").alias("b"), "m"), "b").groupBy(F.col("a").alias("vec_id")).agg(F.sum("m").alias("n"))
+    others = found.join(few.union(enlarged(rows, large, threshold)), "vec_id")
+    done = rows.select("vec_id", "m").join(others, "vec_id", "left").where("m > 1 or n is not null")
+    return done.select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("root", "vec_id").alias("root"))
 
 
 def audit(rows: DataFrame, links: DataFrame, size: int, count: int, threshold: float) -> float:
@@ -180,13 +220,14 @@ def audit(rows: DataFrame, links: DataFrame, size: int, count: int, threshold: f
     def run(batches):
         total = np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
-            x, own = _matrix(batch.column(1), size), batch.column(0).to_numpy(zero_copy_only=False)
+            x, own, m = _matrix(batch.column(1), size), batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
             for at in range(0, len(x), 4096):
-                total += ((q @ x[at : at + 4096].T >= threshold) & (ids[:, None] != own[None, at : at + 4096])).sum(axis=1)
+                same = ids[:, None] == own[None, at : at + 4096]
+                total += ((q @ x[at : at + 4096].T >= threshold) & ~same) @ m[at : at + 4096] + same @ (m[at : at + 4096] - 1)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["vec_id", "n"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    true = rows.mapInArrow(run, f"vec_id {kind}, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
+    true = rows.select("vec_id", "u", "m").mapInArrow(run, f"vec_id {kind}, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
     got = true.join(links, "vec_id", "left").agg(F.sum(F.least("n", F.coalesce("n_links", F.lit(0)))), F.sum("n")).first()
     return 1.0 if not got[1] else got[0] / got[1]
 
@@ -195,23 +236,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, most: int
     """One row per vector: vec_id, n_links, component_id (the smallest vec_id that links lead to), kept."""
     every = stored(units(vectors), "units")
     lengths = [r[0] for r in every.select(F.size("u").alias("d")).groupBy("d").count().collect()]  # as many as there are lengths
+    distinct, first = collapsed(every)
     found = None
     for size in lengths:
-        rows = every.where(F.size("u") == size)
+        rows = distinct.where(F.size("u") == size)
         count = rows.count()
         lists = graph(rows, size, count, range(TREES), threshold, most)
-        links = stored(links_of(rows, lists, threshold, most), "links")
+        links = stored(links_of(rows, lists, size, range(TREES), threshold, most), "links")
         for more in range(1, RETRIES + 1):
             if audit(rows, links, size, count, threshold) >= AUDIT_RECALL:
                 break
-            lists = graph(rows, size, count, range(TREES << (more - 1), TREES << more), threshold, most, lists)
-            links = stored(links_of(rows, lists, threshold, most), "links")
+            trees = range(TREES << (more - 1), TREES << more)
+            lists = graph(rows, size, count, trees, threshold, most, lists)
+            links = stored(links_of(rows, lists, size, trees, threshold, most), "links")
         found = links if found is None else found.union(links)
     ids = vectors.select("vec_id")
     if found is None:
         done = ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     else:
-        done = ids.join(found, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
+        told = stored(first.join(found.withColumnRenamed("vec_id", "first"), "first"), "told")
+        done = ids.join(told, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
     return done.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

@@ -42,3 +42,24 @@ def test_empty_null_and_repeated_ids(spark):
     df = table(spark, [[1.0, 0.0], [1.0, 0.0], [0.0, 1.0]], [5, 5, 6]).withColumn("root", F.lit(1)).union(table(spark, [[1.0, 0.0]]).select(F.lit(None).cast("long"), "embedding", "label", F.lit(2)))
     got = neardup.near_duplicates(df).collect()
     assert len(got) == 4 and all(r["n_links"] == 0 for r in got)
+
+
+def two_densities():
+    """Five loose versions that link with one another, each with 20 tight copies; and repeated rows of one of them."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=64)
+    base /= np.linalg.norm(base)
+    out = []
+    for _ in range(5):
+        away = rng.normal(size=64)
+        away -= (away @ base) * base
+        version = base + 0.18 * away / np.linalg.norm(away)
+        out += [version + rng.normal(size=64) * 0.001 for _ in range(20)]
+    return [*out, *(out[3] for _ in range(15)), *rng.normal(size=(300, 64))]
+
+
+def test_tight_copies_do_not_hide_looser_links(spark):
+    x = two_densities()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(table(spark, x)).collect()}
+    want = brute(x)
+    assert want[0][0] > 100 and got == want

@@ -2,14 +2,18 @@
 
 A neighbour graph starts from leaves of random-hyperplane trees (pairs within a leaf) and is refined: each round joins,
 around every vector, its neighbours and some that have it as theirs, compares them with one another and keeps the best K of
-each (Dong, Moses and Li 2011). Entries far below the threshold are not kept, so vectors without company cost little.
-Rounds end when next to nothing changes. Entries at the threshold or above are links.
+each (Dong, Moses and Li 2011). Rounds end when next to nothing changes. Entries at the threshold or above are links.
 
 Equal vectors are collapsed first and counted by their number. A vector whose K entries all are links is saturated, and
 may have more links than its list holds. Those that lead to other components are searched apart: lists of the best K
 vectors of other components, until no link between two components is new. Those within its component are counted: the
-members are compared in blocks, and only the numbers of links kept. An audit compares a sample of vectors with all others
-and counts which of their links were found; below AUDIT_RECALL, more trees and rounds follow.
+members are compared in blocks, and only the numbers of links kept.
+
+Entries below MARGIN under the threshold are not kept, so a pair without other company is only found by a tree that has
+both in a leaf. The number of trees therefore grows with the table: as many as find a pair at the threshold with
+probability PAIR_RECALL (about n ** 0.15 of them). An audit compares a sample of vectors, and one of those in small groups or
+alone, with all others; a vector counts if all its links were found. Below AUDIT_RECALL more trees and rounds follow; if
+the last audit is below it too, the run fails.
 
 Defined results: a vector that is null, zero, or has null or non-finite components links with nothing, and neither do two
 of different lengths; links are between different rows, so equal vectors link; a repeated vec_id counts as one vector
@@ -33,6 +37,10 @@ THRESHOLD, NEIGHBOURS, TREES, LEAF, BLOCK = 0.95, 12, 6, 256, 128
 MARGIN, STILL, ROUNDS = 0.2, 0.001, 8
 #: Vectors of the audit (expected), the recall it asks for, and how often more trees may follow.
 AUDIT, AUDIT_RECALL, RETRIES = 256, 0.99, 3
+#: How surely the trees find a pair at the threshold; vectors with more links than SMALL have enough company.
+PAIR_RECALL, SMALL = 0.995, 3
+#: Further hyperplanes of a tree that cut its large leaves; how near the threshold single precision doesn't decide.
+FURTHER, UNSURE = 24, 1e-5
 
 
 def units(vectors: DataFrame) -> DataFrame:
@@ -58,19 +66,37 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
+def bits_of(count: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
+
+
+def trees_for(count: int, threshold: float) -> int:
+    """Trees that find a pair at the threshold with PAIR_RECALL; at least TREES.
+
+    A hyperplane parts the two with probability angle / pi. A leaf has a bit more than the mean where vectors are dense;
+    it is cut by two more hyperplanes, expected.
+    """
+    if (bits := bits_of(count)) == 0:
+        return TREES
+    together = (1 - np.arccos(min(1.0, max(-1.0, threshold))) / np.pi) ** (bits + 2)
+    return TREES if together > 1 - 1e-9 else max(TREES, int(np.ceil(np.log(1 - PAIR_RECALL) / np.log1p(-together))))
+
+
 def leaves(rows: DataFrame, size: int, bits: int, trees: range) -> DataFrame:
-    """vec_id, root, u, tree and leaf: the signs of a tree's hyperplanes."""
+    """vec_id, root, u in single precision, tree, leaf (the signs of a tree's hyperplanes) and further (those of FURTHER more)."""
 
     def run(batches):
-        planes = {t: np.random.default_rng(7919 * t + 1).standard_normal((size, bits)) for t in trees}
+        planes = {t: np.random.default_rng(7919 * t + 1).standard_normal((size, bits + FURTHER)) for t in trees}
         for batch in batches:
             x = _matrix(batch.column(2), size)
+            short = batch.column(2).cast(pa.list_(pa.float32()))
             for t in trees:
-                code = ((x @ planes[t] > 0) << np.arange(bits)).sum(axis=1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(x), t), pa.int32()), pa.array(code)], names=["vec_id", "root", "u", "tree", "leaf"])
+                signs = (x @ planes[t] > 0).astype(np.int64)
+                code, further = ((y << np.arange(y.shape[1])).sum(axis=1).astype(np.int64) for y in (signs[:, :bits], signs[:, bits:]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), short, pa.array(np.full(len(x), t), pa.int32()), pa.array(code), pa.array(further)], names=["vec_id", "root", "u", "tree", "leaf", "further"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return rows.select("vec_id", "root", "u").mapInArrow(run, f"vec_id {kind}, root {kind}, u array<double>, tree int, leaf long")
+    return rows.select("vec_id", "root", "u").mapInArrow(run, f"vec_id {kind}, root {kind}, u array<float>, tree int, leaf long, further long")
 
 
 def _best(ids: np.ndarray, roots: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFrame:
@@ -87,14 +113,25 @@ def _best(ids: np.ndarray, roots: np.ndarray, x: np.ndarray, least: float, most:
     return pd.DataFrame({"a": ids[row], "b": ids[col], "s": s[row, col]})
 
 
-def start(rows: DataFrame, size: int, count: int, trees: range, least: float, most: int) -> DataFrame:
-    """First entries (a, b, s) from the leaves; a leaf of very many vectors is cut into random parts."""
-    bits = max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
-    found = leaves(rows, size, bits, trees)
-    parts = found.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
-    dealt = found.join(parts, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "tree"), "parts"))
+def start(rows: DataFrame, size: int, count: int, trees: range, threshold: float, most: int) -> DataFrame:
+    """First entries (a, b, s) from the leaves; s is exact about the threshold, elsewhere of single precision.
+
+    A leaf of very many vectors is cut by further hyperplanes, which keep near pairs together; what they cannot cut is
+    dense, and is cut into random parts.
+    """
+    found = leaves(rows, size, bits_of(count), trees)
+    cuts = found.groupBy("tree", "leaf").agg(F.least(F.ceil(F.log2(F.greatest(F.count(F.lit(1)) / LEAF, F.lit(1.0)))), F.lit(FURTHER)).cast("int").alias("cuts"))
+    cut = found.join(cuts, ["tree", "leaf"]).withColumn("further", F.expr("further & (shiftleft(1L, cuts) - 1)"))
+    parts = cut.groupBy("tree", "leaf", "further").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
+    dealt = cut.join(parts, ["tree", "leaf", "further"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "tree"), "parts"))
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return dealt.select("tree", "leaf", "part", "vec_id", "root", "u").groupBy("tree", "leaf", "part").applyInPandas(lambda g: _best(g["vec_id"].to_numpy(), g["root"].to_numpy(), np.stack(g["u"]), least, most), f"a {kind}, b {kind}, s double")
+    best = lambda g: _best(g["vec_id"].to_numpy(), g["root"].to_numpy(), np.stack(g["u"]).astype(float), threshold - MARGIN, most)
+    entries = dealt.select("tree", "leaf", "further", "part", "vec_id", "root", "u").groupBy("tree", "leaf", "further", "part").applyInPandas(best, f"a {kind}, b {kind}, s double")
+    entries = stored(entries.groupBy("a", "b").agg(F.max("s").alias("s")), "first")
+    unsure = F.abs(F.col("s") - threshold) < UNSURE
+    u = lambda side: rows.select(F.col("vec_id").alias(side), F.col("u").alias(f"u{side}"))
+    product = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    return entries.where(~unsure).union(entries.where(unsure).join(u("a"), "a").join(u("b"), "b").select("a", "b", product.alias("s")))
 
 
 def kept(entries: DataFrame, most: int) -> DataFrame:
@@ -135,7 +172,7 @@ def refined(rows: DataFrame, lists: DataFrame, size: int, least: float, most: in
 def graph(rows: DataFrame, size: int, count: int, trees: range, threshold: float, most: int, before: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
     """Neighbour lists (a, b, s) after the rounds; neighbours are of other roots."""
     least = threshold - MARGIN
-    first = start(rows, size, count, trees, least, most)
+    first = start(rows, size, count, trees, threshold, most)
     lists = stored(kept(first if before is None else first.union(before), most), "lists")
     for _ in range(ROUNDS):
         after = stored(kept(lists.union(refined(rows, lists, size, least, most, own)), most), "lists")
@@ -210,9 +247,17 @@ def links_of(rows: DataFrame, lists: DataFrame, size: int, trees: range, thresho
 
 
 def audit(rows: DataFrame, links: DataFrame, size: int, count: int, threshold: float) -> float:
-    """Share of the links of about AUDIT vectors, chosen by hash, that were found."""
-    share = max(1, count // AUDIT)
-    asked = rows.where(F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.lit(share)) == 0).toArrow()  # about AUDIT vectors
+    """Share of vectors with all their links found, of those with links; the lesser of two samples of about AUDIT by hash.
+
+    One sample is of all vectors, one of those that have SMALL true links at most: a large group says nothing of them.
+    Vectors for which few links were found make up a sample of their own, as these may have lost some.
+    """
+    few = links.where(F.col("n_links") > SMALL).select("vec_id")
+    scarce = rows.join(few, "vec_id", "left_anti")
+    paired = scarce.join(links.select("vec_id"), "vec_id", "left_semi")
+    taken = lambda x, n, salt: x.where(F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(max(1, n // AUDIT))) == 0).select("vec_id", "u")
+    every = taken(rows, count, 5).union(taken(scarce, scarce.count(), 6)).union(taken(paired, paired.count(), 7))
+    asked = every.dropDuplicates(["vec_id"]).toArrow()  # about 3 * AUDIT vectors
     if not asked.num_rows:
         return 1.0
     q, ids = np.array(asked["u"].to_pylist()).reshape(-1, size), asked["vec_id"].to_numpy()
@@ -228,8 +273,9 @@ def audit(rows: DataFrame, links: DataFrame, size: int, count: int, threshold: f
 
     kind = rows.schema["vec_id"].dataType.simpleString()
     true = rows.select("vec_id", "u", "m").mapInArrow(run, f"vec_id {kind}, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
-    got = true.join(links, "vec_id", "left").agg(F.sum(F.least("n", F.coalesce("n_links", F.lit(0)))), F.sum("n")).first()
-    return 1.0 if not got[1] else got[0] / got[1]
+    got = true.where("n > 0").join(links, "vec_id", "left").select((F.col("n") <= SMALL).alias("small"), (F.coalesce("n_links", F.lit(0)) >= F.col("n")).cast("int").alias("whole"))
+    shares = got.agg(F.avg("whole"), F.avg(F.when(F.col("small"), F.col("whole")))).first()
+    return min((x for x in shares if x is not None), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, most: int = NEIGHBOURS) -> DataFrame:
@@ -241,12 +287,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, most: int
     for size in lengths:
         rows = distinct.where(F.size("u") == size)
         count = rows.count()
-        lists = graph(rows, size, count, range(TREES), threshold, most)
-        links = stored(links_of(rows, lists, size, range(TREES), threshold, most), "links")
-        for more in range(1, RETRIES + 1):
-            if audit(rows, links, size, count, threshold) >= AUDIT_RECALL:
+        n = trees_for(count, threshold)
+        lists = graph(rows, size, count, range(n), threshold, most)
+        links = stored(links_of(rows, lists, size, range(n), threshold, most), "links")
+        for more in range(1, RETRIES + 2):
+            if (recall := audit(rows, links, size, count, threshold)) >= AUDIT_RECALL:
                 break
-            trees = range(TREES << (more - 1), TREES << more)
+            if more > RETRIES:
+                raise RuntimeError(f"{recall:.4f} of the audited vectors have all their links, less than {AUDIT_RECALL}")
+            trees = range(n << (more - 1), n << more)
             lists = graph(rows, size, count, trees, threshold, most, lists)
             links = stored(links_of(rows, lists, size, trees, threshold, most), "links")
         found = links if found is None else found.union(links)

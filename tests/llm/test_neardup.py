@@ -63,3 +63,22 @@ def test_tight_copies_do_not_hide_looser_links(spark):
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(table(spark, x)).collect()}
     want = brute(x)
     assert want[0][0] > 100 and got == want
+
+
+def test_trees_grow_with_the_table():
+    for n in (100_000, 1_000_000, 10_000_000):
+        missed = (1 - (1 - np.arccos(0.95) / np.pi) ** neardup.bits_of(n)) ** neardup.trees_for(n, 0.95)
+        assert missed <= 0.005
+    assert neardup.trees_for(100, 0.95) == neardup.TREES < neardup.trees_for(1_000_000, 0.95) < neardup.trees_for(10_000_000, 0.95) < 100
+
+
+def test_audit_sees_lost_pairs_beside_a_large_group(spark):
+    rng = np.random.default_rng(3)
+    pairs = np.repeat(rng.normal(size=(60, 32)), 2, axis=0) + rng.normal(size=(120, 32)) * 0.05
+    x = [*(rng.normal(size=32) + rng.normal(size=(100, 32)) * 0.02), *pairs]
+    rows, _ = neardup.collapsed(neardup.units(table(spark, x)))
+    want = brute(x)
+    told = [(k, n, root) for k, (n, root, _) in want.items() if n]
+    whole = spark.createDataFrame(told, "vec_id long, n_links long, root long")
+    assert neardup.audit(rows, whole, 32, len(x), 0.95) == 1.0
+    assert neardup.audit(rows, whole.where("vec_id < 100"), 32, len(x), 0.95) < 0.5

@@ -6,9 +6,10 @@ block probability of an estimate depends on its two counts only, so the tree tha
 would leave follows from counts of DEPTH + 1 bytes in a row, which are summed over the cluster. A text is then scored by
 that tree; it is not changed by the text scored.
 
-The tree holds every context that makes up at least 1 / CONTEXTS of the training bytes, at most CONTEXTS a depth; what
-occurs after other contexts is counted, without exception, in a child of its own that all of them share. So the model that is broadcast
-has a bound that doesn't follow the corpus, while the counts it is made of cover all of it.
+The tree holds every context of the training texts, and grows with them; an unseen context is an empty node. It is never
+in one place: what its contexts say above depth TOP is bounded (65,536 contexts) and sent to all; the subtrees below are
+dealt by the last TOP bytes. A task fits its subtrees and scores the runs of bytes that occur after them, once per chunk
+of texts; the chunks' texts then meet the scores of their runs.
 
 Beside it, the word baseline: add-one-half unigrams with exact counts. The counts of the most frequent words (at most
 COMMON) are broadcast; the other words of each text meet their counts by a join.
@@ -20,19 +21,20 @@ uniform over bytes and each token has probability one; other columns are ignored
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import discard, rows_of, stored, table, worker_cache
+from gristmill.llm.common import discard, rows_of, stored, table
 
-DEPTH = 5
-CONTEXTS = 1 << 18
+DEPTH, TOP = 5, 2
+#: Rows of runs that a part of the tree is meant for; bytes of text of a chunk.
+PART, CHUNK = 1 << 20, 32 << 20
 COMMON = 1 << 18
 #: The byte that stands for both ends of a text; UTF-8 has no such byte.
 END = 0xFF
@@ -216,38 +218,95 @@ def bits(texts: list[bytes], scores: Scores) -> np.ndarray:
     return out
 
 
+class Looked:
+    """log2 chances of runs out of a table of them."""
+
+    def __init__(self, runs: np.ndarray, values: np.ndarray, depth: int):
+        order = np.argsort(runs)
+        self.keys, self.values, self.tree = runs[order], values[order], Tree(depth)
+
+    def __call__(self, runs: np.ndarray) -> np.ndarray:
+        new, back = np.unique(runs, return_inverse=True)
+        at, there = _found(self.keys, new)
+        if not there.all():
+            raise RuntimeError("the texts of a chunk were not those that were counted")
+        return self.values[at][back]
+
+
+class Chunks:
+    """Numbers of the chunks of a partition's texts, in their order; _row is numbered along."""
+
+    def __init__(self):
+        from pyspark import TaskContext
+
+        self.part, self.held, self.row = TaskContext.get().partitionId(), 0, 0
+
+    def __call__(self, size: int) -> int:
+        chunk = self.part << 24 | self.held // CHUNK
+        self.held += size + 1
+        self.row += 1
+        return chunk
+
+
+def chunked(docs: DataFrame) -> DataFrame:
+    """docs with _chunk and _row."""
+
+    def run(batches):
+        chunks = Chunks()
+        for batch in batches:
+            sizes = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary())
+            row = chunks.part << 40 | chunks.row
+            number = [chunks(len(v.as_buffer()) if v.is_valid else 0) for v in sizes]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number, pa.int64()), pa.array(range(row, row + len(number)), pa.int64())], names=[*batch.schema.names, "_chunk", "_row"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{kinds}, _chunk long, _row long")
+
+
 def count_runs(docs: DataFrame, depth: int) -> DataFrame:
-    """run long, n long over all texts; text column only."""
+    """_chunk, run, n (in texts that are not held out) of docs (text, held_out); a run may have several rows."""
 
     def count(batches):
+        chunks, now = Chunks(), None
         kept, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, bool]] = []
+
+        def joined():
+            keys, weights = [kept], [n]
+            for held in (False, True):
+                if some := [x for x, h in waiting if h == held]:
+                    new = np.sort(np.concatenate(some))
+                    first = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
+                    keys.append(new[first])
+                    weights.append(np.diff(np.r_[first, len(new)]) * (not held))
+            waiting.clear()
+            return summed(np.concatenate(keys), np.concatenate(weights))
+
+        def rows():
+            for at in range(0, len(kept), 100_000):
+                part = kept[at : at + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now)), pa.array(part), pa.array(n[at : at + 100_000])], names=["_chunk", "run", "n"])
+
         for batch in batches:
-            for _, texts in rows_of(batch, "text"):
-                for text in texts:
-                    for at in range(0, len(text or b"") + 1, 1 << 22):
-                        waiting.append(_part(text or b"", at, depth))
-                if sum(map(len, waiting)) >= 1 << 21:
-                    kept, n = summed(*_joined(kept, n))
+            held = batch.column(batch.schema.get_field_index("held_out"))
+            for start, texts in rows_of(batch, "text"):
+                for k, text in enumerate(texts):
+                    text = text or b""
+                    if (chunk := chunks(len(text))) != now:
+                        kept, n = joined()
+                        yield from rows()
+                        kept, n, now = kept[:0], n[:0], chunk
+                    for at in range(0, len(text) + 1, 1 << 22):
+                        waiting.append((_part(text, at, depth), held[start + k].as_py()))
+                if sum(len(x) for x, _ in waiting) >= 1 << 21:
+                    kept, n = joined()
                     if len(kept) > HELD_RUNS:
-                        yield from _rows(kept, n)
+                        yield from rows()
                         kept, n = kept[:0], n[:0]
-        if waiting:
-            kept, n = summed(*_joined(kept, n))
-        yield from _rows(kept, n)
-
-    waiting: list[np.ndarray] = []
-
-    def _joined(kept, n):
-        new = np.sort(np.concatenate(waiting))
-        waiting.clear()
-        first = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
-        return np.concatenate([kept, new[first]]), np.concatenate([n, np.diff(np.r_[first, len(new)])])
+        kept, n = joined()
+        yield from rows()
 
-    def _rows(kept, n):
-        for at in range(0, len(kept), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(kept[at : at + 100_000].view(np.int64)), pa.array(n[at : at + 100_000])], names=["run", "n"])
-
-    return docs.select("text").mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    return docs.select("text", "held_out").mapInArrow(count, "_chunk long, run long, n long")
 
 
 def _part(text: bytes, at: int, depth: int) -> np.ndarray:
@@ -259,21 +318,95 @@ def _part(text: bytes, at: int, depth: int) -> np.ndarray:
     return found if at + size > len(text) else found[:size]
 
 
-def fit_tree(counted: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS) -> Tree:
-    """counted: run, n. Sums to every depth; collects only what follows contexts of at least 1 / contexts of all bytes."""
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    least = max(1.0, total / contexts)
-    out, level = [], counted
-    for d in range(depth, -1, -1):
-        if d < depth:
-            level = level.groupBy(F.col("run").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("run")).agg(F.sum("n").alias("n"))
-        context = F.shiftrightunsigned("run", 8)
-        kept = level.groupBy(context.alias("context")).agg(F.sum("n").alias("m")).where(F.col("m") >= least).select("context")
-        found = level.withColumn("context", context).join(F.broadcast(kept), "context", "left_semi").select("run", "n").toArrow()  # at most `contexts` contexts
-        run, n = found["run"].to_numpy().view(np.uint64), found["n"].to_numpy()
-        order = np.argsort(run)
-        out.append((run[order], n[order].astype(np.float64)))
-    return Tree.fit(out[::-1], depth)
+def _parents(key: np.ndarray, d: int) -> np.ndarray:
+    """The nodes of depth d above nodes of depth d + 1."""
+    return (key >> np.uint64(8) & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | key & np.uint64(255)
+
+
+def raised(level: tuple, low: int, depth: int) -> list[tuple]:
+    """From the nodes (key, zeros, ones, weighted) of depth `depth` those of each depth from low on, with beta and up.
+
+    A level is key, zeros, ones, weighted, beta, up: the share of its own estimate, and where its parent is.
+    """
+    key, zeros, ones, weighted = level
+    out = [[key, zeros, ones, weighted, np.ones(len(key)), None]]
+    for d in range(depth - 1, low - 1, -1):
+        key, zeros, ones = summed(above := _parents(key, d), zeros, ones)
+        up = out[-1][5] = np.searchsorted(key, above)
+        estimate = log_kt(zeros, ones)
+        weighted = np.logaddexp(estimate, np.bincount(up, weighted, len(key))) - np.log(2)
+        out.append([key, zeros, ones, weighted, np.exp(estimate - np.log(2) - weighted), None])
+    return [tuple(x) for x in out[::-1]]
+
+
+def lowered(levels: list[tuple], above: tuple | None, first: np.ndarray | None) -> list[np.ndarray]:
+    """The values of each level's nodes: chance, sum so far, weight left. `above` are the values over the first level, at `first`."""
+    out: list[np.ndarray] = []
+    for key, zeros, ones, _, beta, up in levels:
+        if out:
+            so_far, weight = (out[-1][up, k] for k in (1, 2))
+        else:
+            so_far, weight = (np.zeros(len(key)), np.ones(len(key))) if above is None else (above[first, k] for k in (1, 2))
+        chance = (ones + 0.5) / (zeros + ones + 1)
+        own, left = so_far + weight * beta * chance, weight * (1 - beta)
+        out.append(np.column_stack([own + left * 0.5, own, left]))
+    return out
+
+
+def _bottom(run: np.ndarray, n: np.ndarray, low: int, depth: int) -> list[tuple]:
+    """The levels from low to depth of the training runs among these."""
+    run, n = summed(run, n)
+    run, n = run[n > 0], n[n > 0]
+    key, zeros, ones = decisions(run, n)
+    return raised((key, zeros, ones, log_kt(zeros, ones)), low, depth)
+
+
+def _contexts(key: np.ndarray) -> np.ndarray:
+    return np.unique(key >> np.uint64(8))
+
+
+def dealt(counted: DataFrame, depth: int, part: int) -> DataFrame:
+    """counted with _part: the subtrees that a run may be in have the same last bytes of the context."""
+    parts = max(1, -(-counted.count() // part))
+    last = F.shiftrightunsigned("run", 8).bitwiseAND(F.lit((1 << 8 * min(TOP, depth)) - 1))
+    return counted.withColumn("_part", F.pmod(F.xxhash64(last), F.lit(parts)).cast("int"))
+
+
+def top_tree(counted: DataFrame, depth: int) -> Tree:
+    """The tree above depth TOP, out of the nodes at that depth; counted as dealt gives it."""
+    low = min(TOP, depth)
+
+    def fit(g: pd.DataFrame) -> pd.DataFrame:
+        key, zeros, ones, weighted, _, _ = _bottom(g["run"].to_numpy().view(np.uint64), g["n"].to_numpy(), low, depth)[0]
+        return pd.DataFrame({"key": key.view(np.int64), "zeros": zeros, "ones": ones, "weighted": weighted})
+
+    rows = counted.where("n > 0").groupBy("_part", "run").agg(F.sum("n").alias("n")).groupBy("_part")
+    found = rows.applyInPandas(fit, "key long, zeros double, ones double, weighted double").toArrow()  # at most 65,536 contexts
+    key, zeros, ones, weighted = (found[k].to_numpy() for k in range(4))
+    order = np.argsort(key.view(np.uint64))
+    levels = raised((key.view(np.uint64)[order], zeros[order], ones[order], weighted[order]), 0, low)[:low]
+    tree = Tree(depth)
+    tree.nodes, tree.contexts, tree.values = [x[0] for x in levels], [_contexts(x[0]) for x in levels], lowered(levels, None, None)
+    return tree
+
+
+def scored(counted: DataFrame, depth: int, part: int = PART) -> DataFrame:
+    """_chunk, run, value: log2 of the chance of the run's last byte by the tree of all training runs."""
+    counted, low = dealt(counted, depth, part), min(TOP, depth)
+    sent = counted.sparkSession.sparkContext.broadcast(top_tree(counted, depth))
+
+    def value(g: pd.DataFrame) -> pd.DataFrame:
+        run, top, tree = g["run"].to_numpy().view(np.uint64), sent.value, Tree(depth)
+        levels = _bottom(run, g["n"].to_numpy(), low, depth)
+        first = np.searchsorted(top.nodes[-1], _parents(levels[0][0], low - 1)) if low else None
+        tree.nodes = [*top.nodes, *(x[0] for x in levels)]
+        tree.contexts = [*top.contexts, *(_contexts(x[0]) for x in levels)]
+        tree.values = [*top.values, *lowered(levels, top.values[-1] if low else None, first)]
+        new, back = np.unique(run, return_inverse=True)
+        out = pd.DataFrame({"_chunk": g["_chunk"], "run": g["run"], "value": tree.log2(new).astype(np.float32)[back]})
+        return out.drop_duplicates(["_chunk", "run"])
+
+    return counted.select("_part", "_chunk", "run", "n").groupBy("_part").applyInPandas(value, "_chunk long, run long, value float")
 
 
 # ---------------------------------------------------------------- the word baseline
@@ -323,25 +456,19 @@ def common_words(counted: DataFrame, most: int = COMMON) -> tuple[dict[bytes, fl
     return dict(zip(found["key"].to_pylist(), np.log10(found["n"].to_numpy() + 0.5).tolist(), strict=True)), at
 
 
-class Model:
-    def __init__(self, tree: Tree, common: dict[bytes, float], name: str):
-        self.tree, self.common, self.name = tree, common, name
+def rated(docs: DataFrame, values: DataFrame, common: dict[bytes, float], depth: int) -> DataFrame:
+    """Per row: _row, doc_id, held_out, n_tokens, the common words' number and sum, bits, and the other words' keys.
 
-
-def rated(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row: _row, doc_id, held_out, n_tokens, the common words' number and sum, bits, and the other words' keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    The texts of a chunk meet the values (_chunk, run, value) of their runs.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(common)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["_row", "doc_id", "held_out", "n_tokens", "n_common", "common_log", "bits", "rest"]
 
-    def rate(batches):
-        from pyspark import TaskContext
-
-        kept = worker_cache("ctw")
-        if kept.get("name") != sent.value.name:
-            kept.update(name=sent.value.name, scores=Scores(sent.value.tree))
-        scores, common = kept["scores"], sent.value.common
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+    def rate(left: pa.Table, right: pa.Table) -> pa.Table:
+        scores = Looked(right["run"].to_numpy().view(np.uint64), right["value"].to_numpy(), depth)
+        common, out = sent.value, []
+        for batch in left.to_batches():
             for first, texts in rows_of(batch, "text", 2 << 20):
                 texts = [t or b"" for t in texts]
                 n_tokens, n_common, total, rest = [], [], [], []
@@ -359,18 +486,18 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
                     n_common.append(len(got) - len(other))
                     total.append(sum(got))
                     rest.append(other)
-                n = len(texts)
-                columns = {"_row": pa.array(range(row, row + n), pa.int64())}
-                columns |= {c: batch.column(batch.schema.get_field_index(c)).slice(first, n) for c in ("doc_id", "held_out")}
+                columns = {c: batch.column(batch.schema.get_field_index(c)).slice(first, len(texts)) for c in names[:3]}
                 columns |= {"n_tokens": pa.array(n_tokens, pa.int64()), "n_common": pa.array(n_common, pa.int64()), "common_log": pa.array(total, pa.float64()), "bits": pa.array(bits(texts, scores)), "rest": pa.array(rest, pa.list_(pa.binary()))}
-                row += n
-                yield pa.RecordBatch.from_pydict(columns)
+                out.append(pa.RecordBatch.from_pydict(columns))
+        types = [pa.int64(), left.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
+        return pa.Table.from_batches(out, pa.schema(list(zip(names, types, strict=True))))
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(rate, f"_row long, doc_id {kind}, held_out boolean, n_tokens long, n_common long, common_log double, bits double, rest array<binary>")
+    texts = chunked(docs.select("doc_id", "held_out", "text"))
+    return texts.groupBy("_chunk").cogroup(values.groupBy("_chunk")).applyInArrow(rate, f"_row long, doc_id {kind}, held_out boolean, n_tokens long, n_common long, common_log double, bits double, rest array<binary>")
 
 
-def score(docs: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS, common: int = COMMON) -> DataFrame:
-    """Scores documents (doc_id, text) by models of those that aren't held out.
+def score(docs: DataFrame, depth: int = DEPTH, part: int = PART, common: int = COMMON) -> DataFrame:
+    """Scores documents (doc_id, text) by models of those that aren't held out; `part` sets only how the work is dealt.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte, the code length
     with the end's share.
@@ -380,10 +507,9 @@ def score(docs: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS, common:
     words = stored(count_words(train), "words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent, least = common_words(words, common)
-    counted = stored(count_runs(train, depth), "runs")
-    tree = fit_tree(counted, depth, contexts)
+    counted = stored(count_runs(docs, depth), "runs")
+    rows = stored(rated(docs, scored(counted, depth, part), frequent, depth), "rated")
     discard(counted)
-    rows = stored(rated(docs, Model(tree, frequent, uuid.uuid4().hex)), "rated")
     others = rows.select("_row", F.explode("rest").alias("key")).groupBy("_row", "key").agg(F.count(F.lit(1)).alias("m"))
     met = others.join(words.where(F.col("n") < least), "key", "left")
     rest = met.groupBy("_row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0)).alias("rest_known"), F.sum(F.col("m") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rest_log"))

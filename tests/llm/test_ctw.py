@@ -128,3 +128,14 @@ def test_empty_and_untrained(spark):
     df = spark.createDataFrame([(held, "ab")], "doc_id long, text string")
     r = ctw.score(df).first()
     assert (r["n_known"], r["train_tokens"]) == (0, 0) and abs(r["score"] + 24 * math.log10(2)) < 1e-6
+
+
+def test_every_context_is_in_the_model(spark):
+    """As one tree of all training texts in one place, with no context left out, however the work is dealt."""
+    texts = near_copies(8, 30)
+    train = [t.encode() for k, t in enumerate(texts) if remainder(k, 5) != 1]
+    tree = ctw.Tree.fit(counts_of(train, 4), 4)
+    for part in (1 << 6, 1 << 10):
+        for r in ctw.score(documents(spark, texts), 4, part).collect():
+            want = tree.log2(ctw.runs(texts[r["doc_id"]].encode(), 4)).sum() * math.log10(2)
+            assert abs(r["score"] - want) < 1e-3 * -want

@@ -355,6 +355,15 @@ def hosts_conflicts(spark, sf_dir):
     return merge.hosts_kept(merge.host_candidates(entries, flags), "bigint", multi=False)
 
 
+@query()
+def hosts_conflicts_all(spark, sf_dir):
+    """Over all rows: lines with several hosts too, whose conflicts are folded by component; other scripts and IPv6."""
+    rows = merge.classified(rules(spark, sf_dir).select("pos", "rule"))
+    entries = stored(merge.host_entries(rows), "hosts")
+    flags = stored(merge.decided(rows.where("kind in ('abp', 'plain')").select("norm").union(entries.select("norm")), merge.rule_sets(rows)), "flags")
+    return merge.hosts_kept(merge.host_candidates(entries, flags), "bigint")
+
+
 @query(f"with recursive {CLASSIFIED}, {HOST_ENTRIES}, {FLAGS}, {ABP_KEPT} select pos, rule from abp_kept")
 def abp_conflicts(spark, sf_dir):
     rows, _, flags = _context(spark, sf_dir)
@@ -394,6 +403,14 @@ def merge_reduction(spark, sf_dir):
     return n.withColumn("reduction", merge.reduction(F.col("lines_in"), F.col("lines_out")))
 
 
+@query()
+def merge_reduction_all(spark, sf_dir):
+    """The reduction of the whole list, lines with several hosts included."""
+    lines = rules(spark, sf_dir).select("pos", "rule")
+    n = lines.agg(F.count(F.lit(1)).alias("lines_in")).crossJoin(merge.merge(lines).agg(F.count(F.lit(1)).alias("lines_out")))  # one row each
+    return n.withColumn("reduction", merge.reduction(F.col("lines_in"), F.col("lines_out")))
+
+
 # ---------------------------------------------------------------- files, names, patches, metadata
 
 

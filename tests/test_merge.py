@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import merge_model
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill.operators import coverage, merge
+from gristmill.plans import queries
 
 
 def run(spark, lines, **how):
@@ -96,3 +98,18 @@ def test_ascii_plan_has_no_python_and_no_product(spark):
     df = spark.createDataFrame([(1, "||a.com^"), (2, "0.0.0.0 b.com"), (3, "c.com")], "pos long, rule string")
     plan = merge.merge(df, idna=False, ipv6=False, multi=False)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+@pytest.mark.parametrize("data", [f"/root/testdata/{n}" for n in ("sf0.001", "sf0.1")])
+def test_whole_queries_against_the_sequential_model(spark, data):
+    """All rows of the fixture, lines of several hosts included."""
+    if not Path(data).is_dir():
+        pytest.skip("no test data")
+    lines = [r["rule"] for r in queries.rules(spark, data).orderBy("pos").collect()]
+    want = merge_model.merge(lines)
+    assert any(len(line.split()) == 3 and "#" not in line for line in lines)
+    assert sorted(r["rule"] for r in queries.QUERIES["hosts_conflicts_all"](spark, data).collect()) == sorted(want["hosts"])
+    told = queries.QUERIES["merge_reduction_all"](spark, data).first()
+    n = sum(map(len, want.values()))
+    assert (told["lines_in"], told["lines_out"]) == (len(lines), n)
+    assert told["reduction"] == pytest.approx((len(lines) - n) * 100 / len(lines))

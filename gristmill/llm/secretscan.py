@@ -1,6 +1,7 @@
 """Secret scan by a random forest over candidates; DataFrame operations only.
 
-Candidates are runs of 16 or more key characters. Each gets numbers: its length, its shares of character kinds, the
+Candidates are runs of 16 or more key characters that hold a digit or start as a known format does, values of 6 or more
+characters, of any kind but quotes and brackets, after a word that names secrets, and passwords in URLs. Each gets numbers: its length, its shares of character kinds, the
 transitions between kinds and between letters that are usual or not in words, how much of it a small dictionary covers,
 what its path (the source) and the neighbouring words say, its entropy. A forest trained on labelled findings tells
 secrets from false positives: checksums named as such, numbers, words, paths, placeholders.
@@ -24,9 +25,17 @@ from gristmill.llm.common import free_name, stored, table
 
 TRAINING, TREES, DEPTH, BINS = 24_000, 16, 6, 16
 THRESHOLD = 0.5
-#: A candidate: a whole run of 16 or more key characters with a digit among them, and its padding.
+#: How keys of known formats start.
+KNOWN = r"AKIA|ASIA|AIza|gh[pousr]_|github_pat_|xox[abeoprs]-|sk[-_]|glpat-|eyJ"
+#: A candidate: the value after a secret-naming key or scheme; a password within a URL; or a whole run of 16 or more key
+#: characters with a digit among them or a known start, and its padding.
 _KEY = r"A-Za-z0-9+/_.\-"
-CANDIDATE = rf"(?<![{_KEY}])(?=[{_KEY}]{{16}})(?=[A-Za-z+/_.\-]*+[0-9])[{_KEY}]++={{0,2}}"
+_NAMES = r"secret|token|passw|pass|pwd|api.?key|access.?key|private.?key|credential|auth"
+_VALUE = r"""[^\s"'`<>{}()\[\]]{5,}+(?<![,;.])|[^\s"'`<>{}()\[\]]{5,}[^\s"'`<>{}()\[\],;.]"""
+_ASSIGNED = rf"""(?<=[=:]\s?[\s"']?)(?<=(?i:{_NAMES})[A-Za-z_]{{0,8}}["']?\s?[=:]\s?["']?)(?![\s"'=:])(?:{_VALUE})"""
+_BEARER = r"""(?<=\s)(?<=(?i:bearer) )[^\s"'`<>{}()\[\],;]{6,}"""
+_IN_URL = r"""(?<=:)(?<=://[^\s:@/"']{1,64}:)[^\s@/"']{3,}+(?=@)"""
+CANDIDATE = rf"{_ASSIGNED}|{_BEARER}|{_IN_URL}|(?<![{_KEY}])(?=[{_KEY}]{{16}})(?=[A-Za-z+/_.\-]*+[0-9]|{KNOWN})[{_KEY}]++={{0,2}}"
 #: Characters before and after a candidate that are looked at.
 BEFORE, AFTER = 32, 4
 #: Words of a dictionary, and words that stand beside secrets or beside what only looks like one.
@@ -36,7 +45,7 @@ SAYS_NOT = r"(?i)(sha-?\d|md5|checksum|digest|hash|commit|uuid|guid|fingerprint|
 CODE_PATH = r"(?i)(config|\.env|settings|deploy|\.ya?ml|\.json|\.ini|credential|\.pem|\.key)"
 #: Pairs of letters that are usual in words.
 USUAL = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur".split()
-NAMES = ("length", "digits", "upper", "lower", "other", "changes", "usual", "covered", "entropy", "hex", "spread", "assigned", "quoted", "says_secret", "says_not", "path_code", "parts", "repeats")
+NAMES = ("length", "digits", "upper", "lower", "other", "changes", "usual", "covered", "entropy", "hex", "spread", "assigned", "quoted", "says_secret", "says_not", "path_code", "parts", "repeats", "known", "code", "in_url")
 
 
 def numbers(c: Column, before: Column, after: Column, source: Column) -> Column:
@@ -60,11 +69,14 @@ def numbers(c: Column, before: Column, after: Column, source: Column) -> Column:
         "spread": F.size(F.array_distinct(chars)) / size,
         "assigned": before.rlike(r"[=:]\s*[\"']?$").cast("int"),
         "quoted": (before.rlike(r"[\"']$") & after.rlike(r"^[\"']")).cast("int"),
-        "says_secret": (before.rlike(SAYS_SECRET) | c.rlike(r"^(AKIA|ghp_|gho_|xox[bp]-|sk[-_]|eyJ)")).cast("int"),
+        "says_secret": (before.rlike(SAYS_SECRET) | c.rlike(rf"^({KNOWN})")).cast("int"),
         "says_not": (before.rlike(SAYS_NOT) | c.rlike(r"(?i)example|xxxx|placeholder")).cast("int"),
         "path_code": source.rlike(CODE_PATH).cast("int"),
         "parts": F.size(F.split(c, r"[/_.=+\-]+")),
         "repeats": share(r"(.)\1{2,}"),
+        "known": c.rlike(rf"^({KNOWN})").cast("int"),
+        "code": (c.rlike(r"[$%]\w*$|^[$%]|^[A-Za-z_]+(\.[A-Za-z_]+)+$|^/") | after.rlike(r"^[({\[]")).cast("int"),
+        "in_url": (before.rlike(r"://[^\s:@/]*:$") & after.startswith("@")).cast("int"),
     }
     return F.array(*(F.coalesce(values[name].cast("double"), F.lit(0.0)) for name in NAMES))
 
@@ -96,7 +108,7 @@ def labelled(spark: SparkSession, rows: int = TRAINING) -> DataFrame:
     h = lambda salt: F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256)
     base64 = lambda salt: F.regexp_replace(F.base64(F.unhex(h(salt))), "=", "")
     pick = lambda salt, values: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(values))) + 1).cast("int"))
-    kind = F.pmod(F.xxhash64(F.lit("kind"), "id"), F.lit(16))
+    kind = F.pmod(F.xxhash64(F.lit("kind"), "id"), F.lit(26))
     named = pick("named", ['token = "', 'secret: "', "password=", 'api_key = "', "Authorization: Bearer ", 'access_key: "', "export AUTH_TOKEN=", 'client_secret="', "passwd: "])
     plain = pick("plain", ["the ", "with ", "see ", "is ", "", "for ", "at ", "id ", "value "])
     sums = pick("sums", ["sha1: ", "sha256=", "md5 ", "checksum: ", "commit ", 'integrity="', "uuid ", "etag: ", "fingerprint "])
@@ -113,9 +125,20 @@ def labelled(spark: SparkSession, rows: int = TRAINING) -> DataFrame:
         (0, pick("nums", ["card ", "no. ", "", "number ", "the "]), number),
         (0, plain, F.when(F.pmod(F.xxhash64("id"), F.lit(2)) == 0, F.upper(F.left(h("k"), F.lit(40)))).otherwise(host)), (0, named, pick("dummy", ["your_api_key_here_example", "xxxxxxxxxxxxxxxxxxxxxxxx", "REPLACE_WITH_YOUR_TOKEN", "changeme-placeholder-value", "<placeholder-example-key>"])),
     ]
+    letters = F.translate(F.left(F.regexp_replace(base64("l"), "[^A-Za-z]", ""), F.lit(24)), "AEIOU", "aeiou")
+    lower = F.left(F.lower(F.regexp_replace(F.concat(base64("l"), base64("o")), "[^A-Za-z]", "")), F.lit(24))
+    mixed = F.concat(pick("m1", ["hunter", "Summer", "Sup3r", "dragon", "P4ss", "Tr0ub", "winter", "qwerty", "letmein"]), F.left(base64("q"), F.lit(3)), pick("m2", ["!", "#9", "$", "7secret", "2024!", "@x", "PassW0rd", "_1", "99"]))
+    short = F.concat(F.left(base64("r"), F.lit(7)), pick("m3", ["", "!", "#", "%k", "&2", "*"]))
+    aws = F.concat(F.lit("AKIA"), F.translate(F.upper(F.left(h("t"), F.lit(16))), "0123456789", "GHIJKLMNOP"))
+    word = pick("word", ["required", "string", "optional", "undefined", "password", "changeme", "invalid", "expired", "missing", "forgotten", "please", "management", "protected", "username", "whatever", "default", "version", "content", "example"])
+    code = pick("code", ["$PASSWORD", "os.environ", "process.env.TOKEN", "$DB_TOKEN", "%TOKEN%", "/run/secrets/token", "config.password", "self.token", "settings.SECRET", "request.token"])
+    cases += [
+        (1, named, letters), (1, named, lower), (1, named, mixed), (1, named, short), (1, plain, aws),
+        (0, named, word), (0, named, word), (0, named, code), (0, pick("prose", ["the token: ", "password: ", "secret: the ", "auth: "]), F.concat(word, pick("end", ["", "-only", "_field", "s"]))), (1, pick("url", ["postgres://u:", "mysql://root:", "https://bot:", "amqp://app:", "redis://x:"]), F.when(F.pmod(F.xxhash64(F.lit("p"), "id"), F.lit(2)) == 0, mixed).otherwise(short)),
+    ]
     of = lambda at: F.coalesce(*(F.when(kind == k, case[at] if at else F.lit(case[0])) for k, case in enumerate(cases)))
     source = pick("source", ["src0", "src7", "config/app.yaml", "docs/index.html", ".env", "src3", "README", "settings.json"])
-    return spark.range(rows).select(source.alias("source"), of(1).alias("before"), of(2).alias("candidate"), pick("after", ['"', '"', " ", "\n", ""]).alias("after"), of(0).alias("label"))
+    return spark.range(rows).select(source.alias("source"), of(1).alias("before"), of(2).alias("candidate"), F.when(of(1).endswith(":") & of(1).contains("://"), "@db.h").otherwise(pick("after", ['"', '"', " ", "\n", ""])).alias("after"), of(0).alias("label"))
 
 
 # ---------------------------------------------------------------- the forest

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gristmill.sources.shared import discard, shared_dir, stored
 
-__all__ = ["discard", "free_name", "one_thread", "perhaps", "released", "rows_of", "shared_dir", "small_batches", "stored", "table", "without", "worker_cache"]
+__all__ = ["discard", "free_name", "one_thread", "perhaps", "released", "rows_of", "shared_dir", "small_batches", "stored", "table", "with_row_key", "without", "worker_cache"]
 
 #: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
 ID_BUCKETS = 1 << 20
@@ -55,6 +55,12 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return far.union(near.join(gone, near["doc_id"].eqNullSafe(gone[name]), "left_anti"))
 
 
+def with_row_key(docs: DataFrame) -> tuple[str, DataFrame]:
+    """(name, docs with a column of that name): a key of each row, unique and stored, as ids may repeat or be null."""
+    name = free_name(docs, "_row")
+    return name, stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed")
+
+
 def released() -> None:
     """Gives a worker's free memory back to the system; idle workers would keep it from those of other stages."""
     import ctypes

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import perhaps, stored, table, without
+from gristmill.llm.common import perhaps, stored, table, with_row_key, without
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Digests that one filter is meant for at most, and the least number of shards that the digest space is cut into.
@@ -201,8 +201,14 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_new(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; docs needs unique ids."""
-    return without(docs, stored(dedup(*halves(docs)).where("not kept").select("doc_id").distinct(), "dropped"))
+    """The rows that stay, with all their columns: one of each group, whether ids repeat or are null.
+
+    Of rows that tie in length and doc_id, any one stays; a null doc_id sorts after all others.
+    """
+    row, rows = with_row_key(docs)
+    ranked = rows.withColumn("doc_id", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")))
+    stays = without(ranked, stored(dedup(*halves(ranked)).where("not kept").select("doc_id"), "dropped"))
+    return stays.withColumn("doc_id", F.col("doc_id.id")).select(*docs.columns)
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import discard, perhaps, rows_of, small_batches, stored, table, without, worker_cache
+from gristmill.llm.common import discard, free_name, perhaps, rows_of, small_batches, stored, table, with_row_key, without, worker_cache
 from gristmill.operators.components import components
 
 #: Sets of a block's part that are traversed together, and pivots of a block that meet all its parts (expected).
@@ -447,9 +447,21 @@ def join(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction
 
 
 def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; docs needs unique ids."""
-    dropped = join(docs, words, threshold).where("doc_id <> component_id").select("doc_id").distinct()
-    return without(docs, stored(dropped, "dropped"))
+    """The row with the smallest id of each component, with all its columns; ids may repeat or be null.
+
+    Of rows that tie in doc_id, any one stays; a null doc_id sorts after all others.
+    """
+    row, rows = with_row_key(docs)
+    keyed = rows.select(F.col(row).alias("doc_id"), "text")
+    found = stored(join(keyed, words, threshold).select(F.col("doc_id").alias(row), F.col("component_id").alias("_root")), "found")
+    several = found.where(F.col(row) != F.col("_root")).select("_root").distinct()
+    met = found.join(several, "_root").join(rows.select(row, F.col("doc_id").alias("_id")), row)
+    met = stored(met.select("_root", row, F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col(row).alias("row")).alias("_rank")), "met")
+    first = met.groupBy("_root").agg(F.min("_rank").alias("_least"))
+    dropped = stored(met.join(first, "_root").where(F.col("_rank.row") != F.col("_least.row")).select(F.col(row).alias("doc_id")), "dropped")
+    own = free_name(rows, "_own")
+    stays = without(rows.withColumnRenamed("doc_id", own).withColumnRenamed(row, "doc_id"), dropped)
+    return stays.withColumnRenamed("doc_id", row).withColumnRenamed(own, "doc_id").select(*docs.columns)
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -48,3 +48,17 @@ def test_registered(spark):
     assert "pipeline" in q and sorted(n for n in q if n.startswith("op")) == sorted(n for n in q if n.startswith("op") and q[n].__module__.startswith("gristmill.llm"))
     assert {int(n[2:].split("_")[0]) for n in q if n.startswith("op")} == set(range(1, 11))
     assert near_copies() and remainder(None, 4) == 0
+
+
+def test_repeated_and_null_ids(spark):
+    """Both dedup stages drop rows, not ids: a unique text stays and an exact copy goes, whatever its id."""
+    from gristmill.llm import exactdedup, ngramjoin
+
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(12)) for w in ("ab", "cd", "ef", "gh"))
+    rows = [(3, one), (5, two), (5, one), (None, three), (None, one), (7, four), (7, four), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted([(3, one), (5, two), (None, three), (7, four), (None, None)], key=repr)
+    for stage in (exactdedup.dedup_new, lambda d: ngramjoin.keep_one(d, 5, Fraction(4, 5))):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == want

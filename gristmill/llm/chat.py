@@ -70,7 +70,11 @@ def preferences(turns: DataFrame) -> DataFrame:
 
 def paired(conversations: DataFrame) -> DataFrame:
     """Pairs from single conversations, for the query: pair p has conversations p as chosen; as rejected the same with
-    its last turn taken from conversation p + 1 (its last assistant turn), or left out where there is none."""
+    its last turn taken from conversation p + 1 (its last assistant turn), or left empty where there is none.
+
+    Dropped, as by the SQL: turns with a null conv_id, which have no next conversation; and from the rejected side turns
+    without a number and those that share the last number, which the taken turn replaces. The chosen side keeps both.
+    """
     t = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
     last = t.groupBy("conv_id").agg(F.max("turn").alias("last"))
     reply = t.where(F.col("role") == LEARNED).groupBy((F.col("conv_id") - 1).alias("conv_id")).agg(F.max_by("text", F.struct("turn", "text")).alias("reply"))

@@ -65,3 +65,12 @@ def test_pairs_of_conversations(spark):
     got = {r["pair_id"]: r for r in chat.preferences(chat.paired(df)).collect()}
     assert got[1]["common"] == 1 and "b<|im_end|>" in got[1]["rejected"] and "a<|im_end|>" in got[1]["chosen"]
     assert set(got) == {1, 2, 3}
+
+
+def test_dropped_rows_are_those_stated(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, None, "user", "n"), (None, 0, "user", "x"), (2, 0, "assistant", "c")]
+    got = chat.paired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("pair_id = 1 or pair_id is null").collect()
+    sides = {s: sorted((r["turn"], r["text"]) for r in got if r["side"] == s and r["turn"] is not None) for s in ("chosen", "rejected")}
+    assert sides == {"chosen": [(0, "a"), (1, "b")], "rejected": [(0, "a"), (1, "c")]}
+    assert [(r["pair_id"], r["side"]) for r in got if r["turn"] is None] == [(1, "chosen")]
+    assert "null conv_id" in chat.paired.__doc__ and "without a number" in chat.paired.__doc__

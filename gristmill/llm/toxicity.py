@@ -3,17 +3,19 @@
 Features of a text: densities of a lexicon learned from the training rows (whole words, word beginnings, words found
 behind character substitutions), lexicon hits near second-person words, capitals, punctuation, obfuscation, length.
 The lexicon, the trees and the calibration are fitted on a bounded sample of labelled rows (LABELLED_ROWS, in
-expectation, chosen by a hash of the id); every row is scored, over its whole text.
+expectation, chosen by a hash of the id), of which equal texts with the same label count once; the model depends on these
+rows only, not on where they lie. Every row is scored, over its whole text.
 
 Defined results: null and empty texts have zero features and get the score of those; labels other than 0 and 1 are left
-out; an id that is labelled both ways counts as each; without positive or negative training rows every score is
-their share (0 without any); a null doc_id is scored and has the checksum of an empty one; other columns are ignored.
+out; a text that is labelled both ways counts as each; without positive or negative training rows every score is
+the share of positive ones (0 without any); a null doc_id is scored and has the checksum of an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +29,22 @@ LABELLED_ROWS = 20_000
 #: Lexicon terms: at least this share of the positive rows, this many of them, and this ratio of the two rates.
 TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 4, 15.0, 4096
 BEGINNINGS = range(4, 11)
+#: Terms that a task counts before it sends them on.
+HELD_TERMS = 1_000_000
+#: Parts of the sample: lexicons and margins that a row is judged by in training come from the others.
+PARTS = 5
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN = 60, 3, 0.2, 32, 2.0
 THRESHOLD, NEAR = 0.3, 5
-#: Characters of a very long text that are looked at together.
+#: Characters of a very long text that are looked at together, and on to the next white space: no feature reaches over it
+#: but the nearness of words, which is found from their places in the whole text.
 CHUNK = 1 << 20
+#: A word of more letters is known by these of its first letters and a digest.
+LONG_WORD = 24
 #: Second-person words of the four languages of the corpus, and usual substitutions for letters.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton vous votre tú ti usted ustedes vos".split())
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "*": None})
 WORD = re.compile(r"[^\W\d_]+")
+BLANK = re.compile(r"\s")
 DISGUISED = re.compile(r"\b[^\W\d_]+(?:[0-9@$*!|]+[^\W\d_]+)+")
 REPEATED = re.compile(r"([!?*#$%&.])\1")
 NAMES = ("words", "hits", "starts", "disguised_hits", "near_you", "you", "shouted", "disguised", "repeated", "upper", "lower", "punct", "bang", "digits", "bytes")
@@ -44,6 +54,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
+def whole(word: str) -> str:
+    """What a whole word is known by."""
+    return word if len(word) <= LONG_WORD else word[:LONG_WORD] + blake2b(word.encode(), digest_size=12).hexdigest()
+
+
 class Lexicon:
     """Whole words and word beginnings; remembers what it said of a word."""
 
@@ -56,24 +71,21 @@ class Lexicon:
         if (found := self.known.get(word)) is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            found = 1 if word in self.words else 2 if any(word[:k] in self.starts for k in BEGINNINGS) else 0
+            found = 1 if whole(word) in self.words else 2 if any(word[:k] in self.starts for k in BEGINNINGS) else 0
             self.known[word] = found
         return found
 
 
 def chunks(text: str):
-    """A text in parts of about CHUNK characters, cut at white space if there is some."""
+    """A text in parts of about CHUNK characters, cut at white space only."""
     at = 0
     while at < len(text):
-        end = at + CHUNK
-        if end < len(text):
-            end = max(text.rfind(" ", at, end), text.rfind("\n", at, end)) + 1 or end
-            end = end if end > at else at + CHUNK
+        blank = BLANK.search(text, at + CHUNK)
+        end = blank.end() if blank else len(text)
         yield text[at:end]
         at = end
 
 
-_BYTES = np.arange(256)
 _PUNCT = np.array([33 <= b < 48 or 58 <= b < 65 or 91 <= b < 97 or 123 <= b < 127 for b in range(256)])
 
 
@@ -84,25 +96,27 @@ def measured(raw: bytes | None, lexicon: Lexicon) -> np.ndarray:
         return out
     n = np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256)
     out[9:] = n[65:91].sum(), n[97:123].sum(), n[_PUNCT].sum(), n[33], n[48:58].sum(), len(raw)
+    hits, you = [], []  # their places among all words, by part
     for part in chunks(raw.decode("utf-8", "replace")):
         low = part.lower()
         words = WORD.findall(low)
-        said = list(map(lexicon, words))
-        hits = [k for k, x in enumerate(said) if x]
-        you = [k for k, w in enumerate(words) if w in SECOND_PERSON]
+        said = np.fromiter(map(lexicon, words), dtype=np.int8, count=len(words))
+        before = int(out[0])
+        hits.append(before + np.flatnonzero(said))
+        you.append(np.array([before + k for k, w in enumerate(words) if w in SECOND_PERSON], dtype=np.int64))
         out[0] += len(words)
-        out[1] += sum(said[k] == 1 for k in hits)
-        out[2] += sum(said[k] == 2 for k in hits)
-        if hits and you:
-            at = np.searchsorted(you, hits)
-            y = np.concatenate([[-(10**9)], you, [10**9]])
-            out[4] += int((np.minimum(np.abs(hits - y[at]), np.abs(y[at + 1] - hits)) <= NEAR).sum())
-        out[5] += len(you)
+        out[1] += (said == 1).sum()
+        out[2] += (said == 2).sum()
+        out[5] += len(you[-1])
         hidden = DISGUISED.findall(low)
         out[3] += sum(bool(lexicon("".join(WORD.findall(x.translate(LEET))))) for x in hidden)
         out[7] += len(hidden)
         out[6] += len(_SHOUTED.findall(part))
         out[8] += len(REPEATED.findall(part))
+    if out[1] + out[2] and out[5]:
+        at, y = np.concatenate(hits), np.concatenate([[-(10**12)], *you, [10**12]])
+        k = np.searchsorted(y, at)
+        out[4] = (np.minimum(at - y[k - 1], y[k] - at) <= NEAR).sum()
     return out
 
 
@@ -178,7 +192,8 @@ class Trees:
 
 
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the calibration: pooled adjacent violators, each block with half a row of either label added."""
+    """Knots of the calibration: pooled adjacent violators. A block's value is its share of positive rows, one of no label
+    added, and half a positive one where there is any; a block without any has the value zero."""
     order = np.argsort(margin, kind="stable")
     blocks: list[list[float]] = []  # sum of labels, rows, sum of margins
     for m, v in zip(margin[order], y[order], strict=True):
@@ -203,64 +218,72 @@ class Scorer:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """Labelled training rows: text, toxic, part (0 to 4 by a hash of the id), without rows that begin alike in hashes."""
+    """Labelled training rows: text, toxic, part (by a hash of the text); equal texts of a label are one row."""
     labels = labels.where("toxic in (0, 1)").where(~held_out()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     share = min(1.0, rows / max(1, labels.count()))
     hashed = F.pmod(F.xxhash64(F.lit(17), "_id"), F.lit(1_000_000))
     few = labels.where(hashed < int(share * 1_000_000)).distinct()  # about `rows` rows of 12 bytes
     found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))  # joined where the texts lie
-    return found.select("text", "toxic", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(5)).cast("int").alias("part"))
+    found = found.select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"))
+    once = found.groupBy("digest", "toxic").agg(F.first("text").alias("text"))  # bounded by the sample, copies combined before the shuffle
+    return once.select("text", "toxic", F.pmod(F.xxhash64(F.lit(29), "digest"), F.lit(PARTS)).cast("int").alias("part"))
 
 
 def _terms(batches):
-    """Terms of a partition's rows with their numbers of rows by label and part, once for each distinct text."""
-    n, seen = Counter(), set()
+    """Terms of a partition's rows with their numbers of rows by label and part."""
+    n = Counter()
     for batch in batches:
         toxic, part = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         for first, texts in rows_of(batch, "text"):
             for k, raw in enumerate(texts, first):
-                if hash(raw) in seen:
-                    continue
-                seen.add(hash(raw))
                 found = set()
                 for piece in chunks((raw or b"").decode("utf-8", "replace")):
                     words = set(WORD.findall(piece.lower()))
-                    found |= {f"={w}" for w in words if len(w) <= 24}
+                    found |= {f"={whole(w)}" for w in words}
                     found |= {w[:x] for w in words for x in BEGINNINGS if len(w) > x}
-                n.update((t, toxic[k], part[k] % 2) for t in found)
-                n["", toxic[k], part[k] % 2] += 1
+                n.update((t, toxic[k], part[k]) for t in found)
+                n["", toxic[k], part[k]] += 1
+        if len(n) > HELD_TERMS:
+            yield from _counted(n)
+            n.clear()
+    yield from _counted(n)
+
+
+def _counted(n: Counter):
     for top in range(0, len(items := list(n.items())), 50_000):
         rows = items[top : top + 50_000]
-        yield pa.RecordBatch.from_pydict({"term": [r[0][0] for r in rows], "toxic": pa.array([r[0][1] for r in rows], pa.int32()), "half": pa.array([r[0][2] for r in rows], pa.int32()), "n": [r[1] for r in rows]})
+        yield pa.RecordBatch.from_pydict({"term": [r[0][0] for r in rows], "toxic": pa.array([r[0][1] for r in rows], pa.int32()), "part": pa.array([r[0][2] for r in rows], pa.int32()), "n": [r[1] for r in rows]})
 
 
 def lexicons(rows: DataFrame) -> list[Lexicon]:
-    """Lexicons of the even parts, of the odd parts and of all."""
-    n = rows.mapInArrow(_terms, "term string, toxic int, half int, n long").groupBy("term")
-    cells = {(half, y): F.sum(F.when((F.col("half") == half) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"n{half}{y}") for half in (0, 1) for y in (0, 1)}
+    """For each part the lexicon of all other parts; the last one is of all."""
+    n = rows.mapInArrow(_terms, "term string, toxic int, part int, n long").groupBy("term")
+    cells = {(k, y): F.sum(F.when((F.col("part") == k) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"n{k}{y}") for k in range(PARTS) for y in (0, 1)}
     found = stored(n.agg(*cells.values()), "terms")
     total = found.where("term = ''").first()
     out = []
-    for halves in ((0,), (1,), (0, 1)):
-        neg, pos = (sum((F.col(f"n{h}{y}") for h in halves), F.lit(0)) for y in (0, 1))
-        n_neg, n_pos = (sum(total[f"n{h}{y}"] for h in halves) if total else 0 for y in (0, 1))
-        least = max(TERM_ROWS * len(halves) / 2, TERM_SHARE * n_pos)
+    for but in range(PARTS + 1):
+        parts = [k for k in range(PARTS) if k != but]
+        neg, pos = (sum((F.col(f"n{k}{y}") for k in parts), F.lit(0)) for y in (0, 1))
+        n_neg, n_pos = (sum(total[f"n{k}{y}"] for k in parts) if total else 0 for y in (0, 1))
+        least = max(TERM_ROWS * len(parts) / PARTS, TERM_SHARE * n_pos)
         ratio = (pos / (n_pos + 1)) / ((neg + 0.5) / (n_neg + 1))
         terms = [r[0] for r in found.where("term != ''").where((pos >= least) & (ratio >= TERM_RATIO)).orderBy(pos.desc(), "term").limit(TERMS).select("term").collect()]
         out.append(Lexicon({t[1:] for t in terms if t[0] == "="}, {t for t in terms if t[0] != "="}))
+    discard(found)
     return out
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scorer:
-    """Lexicon, trees, and a calibration of margins out of five parts; a row's lexicon features come from the other half's lexicon."""
+    """Lexicon, trees, and a calibration of margins out of PARTS parts; a row's lexicon features come from the other parts' lexicon."""
     picked = stored(sample(docs, labels, rows), "labelled")
-    even, odd, full = lexicons(picked)
+    *others, full = lexicons(picked)
 
     def features(batches):
         for batch in batches:
             toxic, part = batch.column(1), batch.column(2).to_pylist()
             for first, texts in rows_of(batch, "text"):
-                sums = np.array([measured(t, even if part[k] % 2 else odd) for k, t in enumerate(texts, first)])
+                sums = np.array([measured(t, others[part[k]]) for k, t in enumerate(texts, first)])
                 yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.list_(pa.float64())), toxic.slice(first, len(texts)), pa.array(part[first : first + len(texts)], pa.int32())], names=["sums", "toxic", "part"])
 
     got = picked.mapInArrow(features, "sums array<double>, toxic int, part int").toArrow()  # bounded by the sample

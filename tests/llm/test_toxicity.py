@@ -47,7 +47,7 @@ def test_labels_of_held_out_rows_are_not_used(spark):
 def test_odd_rows_and_one_sided_labels(spark, toxic):
     docs = odd(spark, extra=True)
     labels = spark.createDataFrame([(k, toxic) for k in range(len(ODD))] + [(None, 1)], "doc_id long, toxic int")
-    name = "score__" if False else "_s"
+    name = "_s"
     rows = toxicity.scored(docs, toxicity.train(docs, labels), name).collect()
     assert len(rows) == len(ODD) and all(r[name] == (toxic or 0) for r in rows)
     assert toxicity.without_toxic(docs.where("false"), labels).count() == 0
@@ -63,10 +63,49 @@ def test_isotonic_and_trees():
     assert (np.diff(at) > 0).all() and (np.diff(value) >= 0).all() and 0 <= value.min() <= value.max() <= 1
 
 
+LEXICON = toxicity.Lexicon({"zorgol", "grannok", toxicity.whole("z" * 40)}, {"vipp"})
+
+
 def test_long_texts_are_measured_whole(monkeypatch):
-    text = ("You zorgol! " * 50 + "gr4nnok %%% ABC ").encode() * 3
-    lexicon = toxicity.Lexicon({"zorgol", "grannok"}, set())
-    whole = toxicity.measured(text, lexicon)
-    monkeypatch.setattr(toxicity, "CHUNK", 600)
-    parts = toxicity.measured(text, lexicon)
-    assert np.array_equal(np.delete(whole, 4), np.delete(parts, 4)) and whole[1] == 150 and whole[3] == 3
+    text = ("You zorgol! " * 50 + "gr4nnok %%% ABC " + "z" * 40 + " ").encode() * 3
+    whole = toxicity.measured(text, LEXICON)
+    for size in (1, 7, 600):
+        monkeypatch.setattr(toxicity, "CHUNK", size)
+        assert np.array_equal(whole, toxicity.measured(text, LEXICON))
+    assert whole[1] == 153 and whole[3] == 3
+
+
+def plainly(text):
+    """The sums of a text, character by character and pair by pair."""
+    raw = text.encode()
+    low, words, word = text.lower(), [], ""
+    for c in low + " ":
+        if c.isalpha():
+            word += c
+        else:
+            words, word = words + [word] * (word != ""), ""
+    hits = [k for k, w in enumerate(words) if w in ("zorgol", "grannok", "z" * 40) or w.startswith("vipp") and len(w) > 3]
+    exact = [k for k in hits if words[k] in ("zorgol", "grannok", "z" * 40)]
+    you = [k for k, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    count = lambda chars: sum(c in chars for c in text if ord(c) < 128)
+    near = sum(any(abs(h - y) <= 5 for y in you) for h in hits)
+    punct = [chr(b) for b in range(33, 127) if not chr(b).isalnum()]
+    return {"words": len(words), "hits": len(exact), "starts": len(hits) - len(exact), "near_you": near, "you": len(you), "upper": count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "lower": count("abcdefghijklmnopqrstuvwxyz"), "punct": count(punct), "bang": count("!"), "digits": count("0123456789"), "bytes": len(raw)}
+
+
+@pytest.mark.parametrize("text", [t for t in ODD if t is not None] + ["You are a VIPPERX, zorgol!! du " + "x " * 4 + "grannok9vipp 5zorgol" + " z" * 3 + "z" * 39])
+def test_features_against_plain_code(text):
+    got = dict(zip(toxicity.NAMES, toxicity.measured(text.encode(), LEXICON), strict=True))
+    want = plainly(text)
+    assert {k: got[k] for k in want} == want
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    docs, labels = corpus(spark, 300)
+    docs = docs.union(docs.where("doc_id % 3 = 0").selectExpr("doc_id + 1000 as doc_id", "text", "lang", "source", "n_chars"))  # repeated texts
+    labels = labels.union(labels.where("doc_id % 3 = 0").selectExpr("doc_id + 1000", "quality", "toxic")).selectExpr("doc_id", "if(doc_id % 17 = 3, 1 - toxic, toxic) as toxic")
+    found = []
+    for n in (1, 3, 8):
+        scorer = toxicity.train(docs.repartition(n, "n_chars", "doc_id"), labels.repartition(n))
+        found.append({r["doc_id"]: r["score"] for r in toxicity.scored(docs.coalesce(1), scorer).collect()})
+    assert found[0] == found[1] == found[2] and len(set(found[0].values())) > 2

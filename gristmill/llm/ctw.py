@@ -38,9 +38,9 @@ PART, CHUNK = 1 << 20, 32 << 20
 COMMON = 1 << 18
 #: The byte that stands for both ends of a text; UTF-8 has no such byte.
 END = 0xFF
-#: Distinct words or byte runs that a task counts before it sends them on; slots of a worker's cache of scores.
-HELD_WORDS, HELD_RUNS, SLOTS = 400_000, 1_500_000, 22
-#: The end token: longer than any word's key.
+#: Distinct words or byte runs that a task counts before it sends them on.
+HELD_WORDS, HELD_RUNS = 400_000, 1_500_000
+#: The key of the end token: longer than any word's key.
 END_KEY = b"\x00" * 17
 
 
@@ -104,49 +104,39 @@ def decisions(runs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Tree:
-    """Per depth: sorted contexts; sorted nodes with the chance of a 1 where the text's context ends, and the weight and sum that pass on to deeper contexts."""
+    """Per depth: the sorted contexts, the sorted nodes, and for each node the chances of a 0 and of a 1 where a text's
+    context ends in it. `passed` is of the last depth: the sums so far of either chance, and the weight left for what is deeper.
+
+    Both chances are kept: next to one, a float can't tell what is left for the other.
+    """
 
     def __init__(self, depth: int):
-        self.depth = depth
+        self.depth, self.passed = depth, np.zeros((0, 3))
         self.contexts: list[np.ndarray] = []
         self.nodes: list[np.ndarray] = []
-        self.values: list[np.ndarray] = []  # columns: chance, sum so far, weight left
+        self.chances: list[np.ndarray] = []
 
     @classmethod
-    def fit(cls, counts: list[tuple[np.ndarray, np.ndarray]], depth: int) -> Tree:
-        """counts: for each depth the runs of context and byte with their numbers, of the contexts that are kept."""
-        tree = cls(depth)
-        levels = [decisions(k, n) for k, n in counts]
-        tree.contexts = [np.unique(k >> np.uint64(8)) for k, _ in counts]
-        beta: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        rest: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        weighted = np.zeros(0)
-        up = [None] * (depth + 1)  # the parent of each node
-        for d in range(depth, -1, -1):
-            key, zeros, ones = levels[d]
-            estimate = log_kt(zeros, ones)
-            if d == depth:
-                weighted = estimate
-                beta[d], rest[d] = np.ones(len(key)), np.full(len(key), 0.5)
-            else:
-                below, z, o = levels[d + 1]
-                context = below >> np.uint64(8) & np.uint64((1 << 8 * d) - 1)
-                at = up[d + 1] = np.searchsorted(key, context << np.uint64(8) | below & np.uint64(255))
-                size = len(key)
-                z0, o0 = (np.maximum(a - np.bincount(at, b, size), 0) for a, b in ((zeros, z), (ones, o)))
-                split = np.bincount(at, weighted, size) + log_kt(z0, o0)
-                weighted = np.logaddexp(estimate, split) - np.log(2)
-                beta[d] = np.exp(estimate - np.log(2) - weighted)
-                rest[d] = (o0 + 0.5) / (z0 + o0 + 1)
-        for d in range(depth + 1):
-            key, zeros, ones = levels[d]
-            chance = (ones + 0.5) / (zeros + ones + 1)
-            so_far, weight = (np.zeros(len(key)), np.ones(len(key))) if d == 0 else (tree.values[d - 1][up[d], k].astype(np.float64) for k in (1, 2))
-            ends = so_far + weight * (beta[d] * chance + (1 - beta[d]) * rest[d])
-            tree.nodes.append(key)
-            tree.values.append(np.column_stack([ends, so_far + weight * beta[d] * chance, weight * (1 - beta[d])]))
-        tree.values = [v.astype(np.float32) for v in tree.values]
-        return tree
+    def fit(cls, run: np.ndarray, n: np.ndarray, depth: int) -> Tree:
+        """The whole tree of runs of depth + 1 bytes with their numbers."""
+        return cls(depth).grown(_bottom(run, n, 0, depth))
+
+    def grown(self, levels: list[tuple]) -> Tree:
+        """With the levels that follow its own added."""
+        out, passed = Tree(self.depth), self.passed
+        first = np.searchsorted(self.nodes[-1], _parents(levels[0][0], len(self.nodes) - 1)) if self.nodes else None
+        out.contexts, out.nodes, out.chances = list(self.contexts), list(self.nodes), list(self.chances)
+        for k, (key, zeros, ones, _, beta, up) in enumerate(levels):
+            above = up if k else first
+            before = np.tile([0.0, 0.0, 1.0], (len(key), 1)) if above is None else passed[above]
+            own = before[:, 2:] * (beta / (zeros + ones + 1))[:, None] * (np.column_stack([zeros, ones]) + 0.5) + before[:, :2]
+            left = before[:, 2] * (1 - beta)
+            passed = np.column_stack([own, left])
+            out.contexts.append(_contexts(key))
+            out.nodes.append(key)
+            out.chances.append(own + 0.5 * left[:, None])
+        out.passed = passed
+        return out
 
     def log2(self, runs: np.ndarray) -> np.ndarray:
         """log2 of the chance of each run's last byte after the others."""
@@ -167,10 +157,10 @@ class Tree:
                     continue
                 key = (context[look] & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | step[look]
                 at, there = _found(self.nodes[d], key)
-                look, v = look[there], self.values[d][at[there]]
-                chance[look] = np.where(deepest[look] == d, v[:, 0], v[:, 1] + 0.5 * v[:, 2])
+                look = look[there]
+                chance[look] = self.chances[d][at[there], bit[look]]
                 todo[look] = False
-            total += np.log2(np.where(bit == 1, chance, 1 - chance))
+            total += np.log2(chance)
         return total
 
 
@@ -181,35 +171,12 @@ def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == wanted
 
 
-class Scores:
-    """log2 chances of runs, with a direct-mapped cache of 2 ** SLOTS runs."""
-
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.keys = np.full(1 << SLOTS, np.uint64(1 << 63), dtype=np.uint64)
-        self.found = np.zeros(1 << SLOTS, dtype=np.float32)
-
-    def __call__(self, runs: np.ndarray) -> np.ndarray:
-        slot = (runs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
-        out = self.found[slot]
-        missed = np.flatnonzero(self.keys[slot] != runs)
-        if len(missed):
-            new, back = np.unique(runs[missed], return_inverse=True)
-            value = self.tree.log2(new).astype(np.float32)
-            out[missed] = value[back]
-            at = (new * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
-            self.keys[at], self.found[at] = new, value
-        return out
-
-
-def bits(texts: list[bytes], scores: Scores) -> np.ndarray:
+def bits(texts: list[bytes], scores: Looked) -> np.ndarray:
     """Code length of each text and its end, in bits."""
-    out, depth = np.zeros(len(texts)), scores.tree.depth
-    held, owners = [], []
+    out, held, owners = np.zeros(len(texts)), [], []
     for k, text in enumerate(texts):
-        for at in range(0, len(text) + 1, 1 << 20):  # a very long text in parts
-            part = runs(text, depth) if len(text) < 1 << 20 else runs(text[max(0, at - depth) : at + (1 << 20)], depth)[min(at, depth) :][: (1 << 20) if at + (1 << 20) <= len(text) else None]
-            held.append(part)
+        for at in range(0, len(text) + 1, 1 << 22):
+            held.append(_part(text, at, scores.depth))
             owners.append(k)
     sizes = np.array([len(x) for x in held])
     value = scores(np.concatenate(held))
@@ -223,7 +190,7 @@ class Looked:
 
     def __init__(self, runs: np.ndarray, values: np.ndarray, depth: int):
         order = np.argsort(runs)
-        self.keys, self.values, self.tree = runs[order], values[order], Tree(depth)
+        self.keys, self.values, self.depth = runs[order], values[order], depth
 
     def __call__(self, runs: np.ndarray) -> np.ndarray:
         new, back = np.unique(runs, return_inverse=True)
@@ -339,20 +306,6 @@ def raised(level: tuple, low: int, depth: int) -> list[tuple]:
     return [tuple(x) for x in out[::-1]]
 
 
-def lowered(levels: list[tuple], above: tuple | None, first: np.ndarray | None) -> list[np.ndarray]:
-    """The values of each level's nodes: chance, sum so far, weight left. `above` are the values over the first level, at `first`."""
-    out: list[np.ndarray] = []
-    for key, zeros, ones, _, beta, up in levels:
-        if out:
-            so_far, weight = (out[-1][up, k] for k in (1, 2))
-        else:
-            so_far, weight = (np.zeros(len(key)), np.ones(len(key))) if above is None else (above[first, k] for k in (1, 2))
-        chance = (ones + 0.5) / (zeros + ones + 1)
-        own, left = so_far + weight * beta * chance, weight * (1 - beta)
-        out.append(np.column_stack([own + left * 0.5, own, left]))
-    return out
-
-
 def _bottom(run: np.ndarray, n: np.ndarray, low: int, depth: int) -> list[tuple]:
     """The levels from low to depth of the training runs among these."""
     run, n = summed(run, n)
@@ -384,10 +337,7 @@ def top_tree(counted: DataFrame, depth: int) -> Tree:
     found = rows.applyInPandas(fit, "key long, zeros double, ones double, weighted double").toArrow()  # at most 65,536 contexts
     key, zeros, ones, weighted = (found[k].to_numpy() for k in range(4))
     order = np.argsort(key.view(np.uint64))
-    levels = raised((key.view(np.uint64)[order], zeros[order], ones[order], weighted[order]), 0, low)[:low]
-    tree = Tree(depth)
-    tree.nodes, tree.contexts, tree.values = [x[0] for x in levels], [_contexts(x[0]) for x in levels], lowered(levels, None, None)
-    return tree
+    return Tree(depth).grown(raised((key.view(np.uint64)[order], zeros[order], ones[order], weighted[order]), 0, low)[:low])
 
 
 def scored(counted: DataFrame, depth: int, part: int = PART) -> DataFrame:
@@ -396,12 +346,8 @@ def scored(counted: DataFrame, depth: int, part: int = PART) -> DataFrame:
     sent = counted.sparkSession.sparkContext.broadcast(top_tree(counted, depth))
 
     def value(g: pd.DataFrame) -> pd.DataFrame:
-        run, top, tree = g["run"].to_numpy().view(np.uint64), sent.value, Tree(depth)
-        levels = _bottom(run, g["n"].to_numpy(), low, depth)
-        first = np.searchsorted(top.nodes[-1], _parents(levels[0][0], low - 1)) if low else None
-        tree.nodes = [*top.nodes, *(x[0] for x in levels)]
-        tree.contexts = [*top.contexts, *(_contexts(x[0]) for x in levels)]
-        tree.values = [*top.values, *lowered(levels, top.values[-1] if low else None, first)]
+        run = g["run"].to_numpy().view(np.uint64)
+        tree = sent.value.grown(_bottom(run, g["n"].to_numpy(), low, depth))
         new, back = np.unique(run, return_inverse=True)
         out = pd.DataFrame({"_chunk": g["_chunk"], "run": g["run"], "value": tree.log2(new).astype(np.float32)[back]})
         return out.drop_duplicates(["_chunk", "run"])
@@ -426,14 +372,14 @@ def count_words(docs: DataFrame) -> DataFrame:
             for _, texts in rows_of(batch, "text"):
                 for text in texts:
                     n.update((text or b"").lower().split())
-                n[END_KEY] += len(texts)
+                n[None] += len(texts)  # their ends
                 if len(n) > HELD_WORDS:
                     yield from _rows(n)
                     n.clear()
         yield from _rows(n)
 
     def _rows(n):
-        keys, values = [w if w is END_KEY or w == END_KEY else key_of(w) for w in n], list(n.values())
+        keys, values = [END_KEY if w is None else key_of(w) for w in n], list(n.values())
         for at in range(0, len(keys), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 50_000], pa.binary()), pa.array(values[at : at + 50_000], pa.int64())], names=["key", "n"])
 
@@ -461,13 +407,13 @@ def rated(docs: DataFrame, values: DataFrame, common: dict[bytes, float], depth:
 
     The texts of a chunk meet the values (_chunk, run, value) of their runs.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(common)
+    sent = docs.sparkSession.sparkContext.broadcast(({k: v for k, v in common.items() if k != END_KEY}, common.get(END_KEY)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["_row", "doc_id", "held_out", "n_tokens", "n_common", "common_log", "bits", "rest"]
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         scores = Looked(right["run"].to_numpy().view(np.uint64), right["value"].to_numpy(), depth)
-        common, out = sent.value, []
+        (common, end), out = sent.value, []
         for batch in left.to_batches():
             for first, texts in rows_of(batch, "text", 2 << 20):
                 texts = [t or b"" for t in texts]
@@ -475,12 +421,12 @@ def rated(docs: DataFrame, values: DataFrame, common: dict[bytes, float], depth:
                 for text in texts:
                     words = text.lower().split()
                     n_tokens.append(len(words) + 1)
-                    got = [*map(common.get, words), common.get(END_KEY)]
+                    got = [*map(common.get, words), end]
                     other = []
                     if None in got:
                         for k in [k for k, x in enumerate(got) if x is None]:
                             key = key_of(words[k]) if k < len(words) else END_KEY
-                            got[k] = common.get(key, 0.0)  # a long word is known by its key
+                            got[k] = common.get(key, 0.0)  # a long word is known by its key, an uncommon one not at all
                             if key not in common:
                                 other.append(key)
                     n_common.append(len(got) - len(other))

@@ -9,8 +9,10 @@ Validators: the revisit's ETag must equal the response's by weak comparison (W/
 either side its Last-Modified must be equal; without any validator the payload digests must be equal. Headers: those of
 the response, with those that a 304 may update taken from the revisit where it has them.
 
-Defined results: a null URL, time or type takes no part as a response, and a revisit with one stays unresolved (no_url or
-no_earlier); responses of the same time as a revisit are not earlier; of responses of the same time the one with the
+Defined results: full responses are those of status 200; others, and those without a status, are never referred to, and
+neither are records of another type. A null URL or time takes no part as a response, and a revisit with one stays unresolved
+(no_url or no_earlier). Null headers are empty ones, and stay null only where a revisit is not resolved; a header of a null
+value is one that isn't there. Responses of the same time as a revisit are not earlier; of responses of the same time the one with the
 larger record id is the later; repeated record ids are records of their own; an empty table gives no rows; other columns are
 ignored.
 """
@@ -55,8 +57,9 @@ def resolved(records: DataFrame, span: int = SPAN) -> DataFrame:
     no_url), headers, and the digest of the payload it stands for.
     """
     is_full = (F.col("type") == "response") & (F.col("status") == 200) & F.col("captured").isNotNull()
-    one = F.struct("captured", "record_id", "digest", F.array_sort(F.map_entries("headers")).alias("entries"))
-    rows = records.where(is_full | (F.col("type") == "revisit")).select("record_id", "type", canonical(F.col("url")).alias("canonical_url"), "captured", "digest", "headers")
+    present = F.map_filter(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda _, v: v.isNotNull())
+    one = F.struct("captured", "record_id", "digest", F.array_sort(F.map_entries(present)).alias("entries"))
+    rows = records.where(is_full | (F.col("type") == "revisit")).select("record_id", "type", canonical(F.col("url")).alias("canonical_url"), "captured", "digest", "headers", present.alias("_present"))
     rows = rows.withColumn("_span", F.floor(F.col("captured") / span)).withColumn("_full", F.when(F.col("type") == "response", one))
     rows = rows.where("type = 'revisit' or canonical_url is not null")
     # within a span: the latest response before; a range frame leaves out records of the same second
@@ -70,7 +73,7 @@ def resolved(records: DataFrame, span: int = SPAN) -> DataFrame:
     carried = carried.groupBy("canonical_url", "_span").agg(F.max("_end").alias("_end"), F.max("_asked").alias("_asked"))
     carried = carried.withColumn("_far", F.last("_end", ignorenulls=True).over(before)).where("_asked").select("canonical_url", "_span", "_far")
     found = in_span.join(carried, ["canonical_url", "_span"], "left").withColumn("_to", F.coalesce("_near", "_far"))
-    etag, modified = (F.col("headers")[name] for name in ("etag", "last-modified"))
+    etag, modified = (F.col("_present")[name] for name in ("etag", "last-modified"))
     theirs = F.map_from_entries("_to.entries")
     their_etag, their_modified = (theirs[name] for name in ("etag", "last-modified"))
     same = (
@@ -79,8 +82,8 @@ def resolved(records: DataFrame, span: int = SPAN) -> DataFrame:
         .otherwise(F.col("digest") == F.col("_to.digest"))
     )
     outcome = F.when(F.col("canonical_url").isNull(), "no_url").when(F.col("_to").isNull(), "no_earlier").when(F.coalesce(same, F.lit(False)), "resolved").otherwise("changed")
-    permitted = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
-    merged = F.map_concat(F.map_filter(theirs, lambda k, _: ~F.coalesce(F.map_contains_key(permitted, k), F.lit(False))), permitted)
+    permitted = F.map_filter("_present", lambda k, _: k.isin(*PERMITTED))
+    merged = F.map_concat(F.map_filter(theirs, lambda k, _: ~F.map_contains_key(permitted, k)), permitted)
     done = found.withColumn("outcome", outcome)
     ok = F.col("outcome") == "resolved"
     return done.select("record_id", "canonical_url", "captured", F.when(ok, F.col("_to.record_id")).alias("refers_to"), "outcome", F.when(ok, merged).otherwise(F.col("headers")).alias("headers"), F.when(ok, F.col("_to.digest")).alias("payload_digest"))

@@ -3,9 +3,9 @@
 The longest common prefix of turns is rendered once, as the prompt; what follows it on either side is rendered as a
 completion with a loss mask: the spans of characters (start, length) that assistant turns cover, their end mark included.
 
-Turns are compared in place, by role and text, after a join on pair and turn number. A conversation's turns meet in
-one row because they become one string; the first difference is a partial aggregate, so a turn that many
-conversations share is no hot key.
+The turns of a pair are shuffled once, by its id, and become two arrays of one row, as they end in strings of one row
+anyway; all else happens within that row. Nothing is grouped or joined by a turn's text, so a turn that many conversations
+share is no hot key.
 
 Defined results: a null role or text counts as an empty one; turns without a number come last; of repeated turns (the
 same conversation and number) every one counts, ordered by role and text; if one side is a prefix of the other its completion
@@ -15,24 +15,30 @@ are ignored; empty tables give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, table
+from gristmill.llm.common import table
 
 #: The marks of a rendered turn.
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 LEARNED = "assistant"
 
 
-def numbered(turns: DataFrame) -> DataFrame:
-    """pair_id, side, at (0, 1, ... in a side), role and text from pair_id, side, turn, role, text.
+def _turn() -> Column:
+    """A turn as it sorts: those without a number last, then by number, role and text."""
+    return F.struct(F.col("turn").isNull().alias("last"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _said(turns: Column) -> Column:
+    return F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
 
-    The order of a side is found within one array of numbers, roles and texts; a side is one row of the result anyway.
-    """
-    one = F.struct(F.col("turn").isNull().alias("last"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    sides = turns.groupBy("pair_id", "side").agg(F.array_sort(F.collect_list(one)).alias("turns"))
-    return sides.select("pair_id", "side", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+
+def sides(turns: DataFrame) -> DataFrame:
+    """pair_id, chosen and rejected (arrays of role and text in order) of the pairs that have both."""
+    side = lambda name: _said(F.array_sort(F.collect_list(F.when(F.col("side") == name, _turn())))).alias(name)
+    both = turns.where(F.col("side").isin("chosen", "rejected")).groupBy("pair_id").agg(side("chosen"), side("rejected"))
+    return both.where((F.size("chosen") > 0) & (F.size("rejected") > 0))
 
 
 def rendered(turns: Column) -> Column:
@@ -53,13 +59,15 @@ def mask(turns: Column) -> Column:
 
 
 def preferences(turns: DataFrame) -> DataFrame:
-    """turns: pair_id, side ('chosen' or 'rejected'), turn, role, text. A row per pair that has both sides.
+    """turns: pair_id, side ('chosen' or 'rejected'), turn, role, text. A row per pair that has both sides, as of formatted."""
+    return formatted(sides(turns))
+
+
+def formatted(both: DataFrame) -> DataFrame:
+    """both: pair_id, chosen, rejected, as of sides.
 
     Returns pair_id, common (turns of the prefix), prompt, chosen, rejected, chosen_mask, rejected_mask.
     """
-    sides = numbered(turns.where(F.col("side").isin("chosen", "rejected")))
-    both = sides.groupBy("pair_id").pivot("side", ["chosen", "rejected"]).agg(F.first("turns"))
-    both = both.where("chosen is not null and rejected is not null")
     least = F.least(F.size("chosen"), F.size("rejected"))
     differs = F.filter(F.transform(F.sequence(F.lit(0), least - 1), lambda k: F.when(F.get("chosen", k) != F.get("rejected", k), k)), lambda k: k.isNotNull())
     cut = both.withColumn("common", F.when(least == 0, F.lit(0)).otherwise(F.coalesce(F.get(differs, F.lit(0)), least)))
@@ -69,23 +77,26 @@ def preferences(turns: DataFrame) -> DataFrame:
 
 
 def paired(conversations: DataFrame) -> DataFrame:
-    """Pairs from single conversations, for the query: pair p has conversations p as chosen; as rejected the same with
-    its last turn taken from conversation p + 1 (its last assistant turn), or left empty where there is none.
+    """Pairs from single conversations, for the query: pair_id, chosen, rejected. Pair p has conversation p as chosen; as
+    rejected the same with its last turn taken from conversation p + 1 (its last assistant turn), or an empty assistant
+    turn where there is none.
 
     Dropped, as by the SQL: turns with a null conv_id, which have no next conversation; and from the rejected side turns
     without a number and those that share the last number, which the taken turn replaces. The chosen side keeps both.
     """
     t = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
-    last = t.groupBy("conv_id").agg(F.max("turn").alias("last"))
-    reply = t.where(F.col("role") == LEARNED).groupBy((F.col("conv_id") - 1).alias("conv_id")).agg(F.max_by("text", F.struct("turn", "text")).alias("reply"))
-    chosen = t.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    start = t.join(last, "conv_id").where("turn < last").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    end = last.join(reply, "conv_id", "left").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), F.col("last").alias("turn"), F.lit(LEARNED).alias("role"), F.col("reply").alias("text"))
-    return chosen.union(start).union(end)
+    whole = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(_turn())).alias("turns"))
+    of_role = F.filter("turns", lambda x: x["role"] == LEARNED)
+    reply = F.array_max(F.transform(of_role, lambda x: F.struct(x["turn"].alias("turn"), x["text"].alias("text"))))["text"]
+    replies = whole.select((F.col("conv_id") - 1).alias("conv_id"), reply.alias("reply"))
+    last = F.array_max(F.transform("turns", lambda x: x["turn"]))
+    before = F.filter("turns", lambda x: F.coalesce(x["turn"] < last, F.lit(False)))
+    taken = F.array(F.struct(F.lit(LEARNED).alias("role"), F.coalesce("reply", F.lit("")).alias("text")))
+    return whole.join(replies, "conv_id", "left").select(F.col("conv_id").alias("pair_id"), _said(F.col("turns")).alias("chosen"), F.concat(_said(before), taken).alias("rejected"))
 
 
 def op8_preference_format(spark, sf_dir: str) -> DataFrame:
-    found = preferences(paired(table(spark, sf_dir, "conversations")))
+    found = formatted(paired(table(spark, sf_dir, "conversations")))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string"))), " ")
     return found.select("pair_id", "common", F.md5("prompt").alias("prompt_md5"), F.md5("chosen").alias("chosen_md5"), F.md5("rejected").alias("rejected_md5"), spans("chosen_mask").alias("chosen_mask"), spans("rejected_mask").alias("rejected_mask"))
 

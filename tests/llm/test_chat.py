@@ -62,15 +62,19 @@ def test_empty_and_native(spark):
 def test_pairs_of_conversations(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "q2"), (2, 1, "assistant", "b"), (3, 0, "system", None), (None, 0, "user", "lost")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r["pair_id"]: r for r in chat.preferences(chat.paired(df)).collect()}
+    got = {r["pair_id"]: r for r in chat.formatted(chat.paired(df)).collect()}
     assert got[1]["common"] == 1 and "b<|im_end|>" in got[1]["rejected"] and "a<|im_end|>" in got[1]["chosen"]
     assert set(got) == {1, 2, 3}
 
 
 def test_dropped_rows_are_those_stated(spark):
-    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, None, "user", "n"), (None, 0, "user", "x"), (2, 0, "assistant", "c")]
-    got = chat.paired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("pair_id = 1 or pair_id is null").collect()
-    sides = {s: sorted((r["turn"], r["text"]) for r in got if r["side"] == s and r["turn"] is not None) for s in ("chosen", "rejected")}
-    assert sides == {"chosen": [(0, "a"), (1, "b")], "rejected": [(0, "a"), (1, "c")]}
-    assert [(r["pair_id"], r["side"]) for r in got if r["turn"] is None] == [(1, "chosen")]
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "user", "z"), (1, None, "user", "n"), (None, 0, "user", "x"), (2, 0, "assistant", "c"), (2, None, "assistant", "late"), (5, None, "user", None)]
+    got = {r["pair_id"]: ([t["text"] for t in r["chosen"]], [t["text"] for t in r["rejected"]]) for r in chat.paired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {1: (["a", "b", "z", "n"], ["a", "c"]), 2: (["c", "late"], [""]), 5: ([""], [""])}
     assert "null conv_id" in chat.paired.__doc__ and "without a number" in chat.paired.__doc__
+
+
+def test_turns_are_shuffled_once(spark):
+    df = spark.createDataFrame([(1, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    plan = chat.formatted(chat.paired(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3  # the turns of either use of a conversation, and its reply

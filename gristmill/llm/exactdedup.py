@@ -1,36 +1,46 @@
 """Exact dedup: binary-fuse filters over immutable snapshots screen incoming digests; positives join exact buckets.
 
-A snapshot is a batch of documents that no longer changes. It is kept as a table of digests (one row per distinct
-normalised text, with the row that stays) and, per shard of the digest space, one static binary-fuse filter. Incoming
-documents are first grouped among themselves; one digest per group is screened by the filter of its shard. Only
-positives reach the exact buckets, where their normalised texts are compared byte for byte with the snapshot's.
+A snapshot is a batch of documents that no longer changes. It is kept as tables: the digests of its rows, its groups (one
+row per distinct normalised text, with the row that stays) and, per shard of the digest space, one static binary-fuse filter;
+they can be written beside the documents and read for each later batch. Incoming documents are first grouped among
+themselves; one digest per group is screened by the filter of its shard. Only positives reach the exact buckets, where
+their normalised texts are compared byte for byte with the snapshot's.
 
 Defined results: a null text is an empty one; empty texts are copies of one another; rows with the same doc_id are rows of
-their own, and if the largest texts tie in length and doc_id the result is the same whichever stays; a null doc_id
-sorts after all others; an empty table gives no rows; other columns of the input are ignored or kept, see dedup_new.
+their own, and exactly one row of a group stays: if the largest texts tie in length and doc_id, one of the snapshot before
+one of the batch, else any one; a null doc_id sorts after all others; an empty table gives no rows; other columns of the
+input are ignored or kept, see dedup_new.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import perhaps, stored, table, with_row_key, without
+from gristmill.llm.common import discard, perhaps, stored, table, with_row_key, without
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Digests that one filter is meant for at most, and the least number of shards that the digest space is cut into.
 SHARD_KEYS, LEAST_SHARDS = 50_000, 256
+#: Incoming digests that one task screens at a time, about.
+SCREENED = 200_000
 
 
 def normalised(text: str | Column = "text") -> Column:
     return F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), WHITE_SPACE, "")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, text_sha256 of the normalised text and the code points of the original one."""
-    return docs.select("doc_id", F.sha2(normalised().cast("binary"), 256).alias("text_sha256"), F.length(F.coalesce("text", F.lit(""))).alias("n_points"))
+def digests(docs: DataFrame, batch: bool) -> DataFrame:
+    """doc_id, text_sha256 of the normalised text, the code points of the original one, and what tells the row from all others.
+
+    The number of a row is only fixed once the table is stored.
+    """
+    row = F.struct(F.lit(batch).alias("batch"), F.monotonically_increasing_id().alias("k"))
+    return docs.select("doc_id", F.sha2(normalised().cast("binary"), 256).alias("text_sha256"), F.length(F.coalesce("text", F.lit(""))).alias("n_points"), row.alias("row"))
 
 
 class BinaryFuse8:
@@ -137,24 +147,58 @@ def filters(snapshot: DataFrame, shards: int) -> DataFrame:
     return keyed(snapshot, shards).select("_shard", "_key").groupBy("_shard").applyInPandas(build, "_shard int, seed int, segment int, segments int, prints binary")
 
 
-def screened(groups: DataFrame, built: DataFrame, shards: int) -> DataFrame:
-    """The digests of incoming groups that the filter of their shard lets through."""
+def screened(groups: DataFrame, built: DataFrame, shards: int, count: int) -> DataFrame:
+    """The digests of the incoming groups, `count` in number, that the filter of their shard lets through.
+
+    A large batch is dealt to several tasks a shard, each with the filter of the shard.
+    """
+    parts = max(1, -(-count // (shards * SCREENED)))
 
     def screen(incoming: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(incoming):
             return pd.DataFrame({"text_sha256": pd.Series([], dtype=str)})
         return incoming.loc[BinaryFuse8.loaded(shard.iloc[0]).holds(_keys(incoming)), ["text_sha256"]]
 
-    incoming = keyed(groups, shards).select("_shard", "_key", "text_sha256").groupBy("_shard")
-    return incoming.cogroup(built.groupBy("_shard")).applyInPandas(screen, "text_sha256 string")
+    part = F.pmod(F.xxhash64("text_sha256"), F.lit(parts)).cast("int")
+    incoming = keyed(groups, shards).select("_shard", part.alias("_part"), "_key", "text_sha256").groupBy("_shard", "_part")
+    copies = built.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return incoming.cogroup(copies.groupBy("_shard", "_part")).applyInPandas(screen, "text_sha256 string")
 
 
 def grouped(rows: DataFrame) -> DataFrame:
     """One row per digest: the row that stays (most code points, then smallest doc_id) and the group's size."""
-    best = F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("best")
+    best = F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
     return rows.groupBy("text_sha256").agg(best, F.count(F.lit(1)).alias("size"))
 
 
+@dataclass
+class Snapshot:
+    """What is kept of documents that no longer change: digests, groups, filters of `shards` shards, all stored tables."""
+
+    rows: DataFrame
+    groups: DataFrame
+    filters: DataFrame
+    shards: int
+
+    @classmethod
+    def of(cls, docs: DataFrame) -> Snapshot:
+        rows = stored(digests(docs, False), "digests")
+        groups = stored(grouped(rows), "groups")
+        shards = max(LEAST_SHARDS, -(-groups.count() // SHARD_KEYS))
+        return cls(rows, groups, stored(filters(groups, shards), "filters"), shards)
+
+    def write(self, path: str) -> None:
+        self.rows.write.parquet(f"{path}/rows")
+        self.groups.write.parquet(f"{path}/groups")
+        self.filters.withColumn("shards", F.lit(self.shards)).write.parquet(f"{path}/filters")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Snapshot:
+        built = spark.read.parquet(f"{path}/filters")
+        shards = built.agg(F.max("shards")).first()[0] or LEAST_SHARDS
+        return cls(spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/groups"), built.drop("shards"), shards)
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs (text_sha256, new_id, old_id) those whose normalised texts are the same bytes.
 
@@ -168,30 +212,29 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.groupBy("text_sha256").agg((sides[0] == sides[1]).alias("same")).where("same").select("text_sha256")
 
 
-def dedup(snapshot_docs: DataFrame, new_docs: DataFrame) -> DataFrame:
+def dedup(snapshot_docs: DataFrame, new_docs: DataFrame, snapshot: Snapshot | None = None) -> DataFrame:
     """Groups the rows of a snapshot and of a new batch; a row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    The snapshot's digests are grouped once and give its filters; the batch is grouped apart; its groups join those of
-    the snapshot only if the filter passes them, the digest is in the exact bucket and the bytes agree.
+    The snapshot's filters are made once, or given. The batch is grouped apart; its groups join those of the snapshot
+    only if the filter passes them, the digest is in the exact bucket and the bytes agree.
     """
-    old_rows, new_rows = (stored(digests(x), "digests") for x in (snapshot_docs, new_docs))
-    old, new = (stored(grouped(x), "groups") for x in (old_rows, new_rows))
-    shards = max(LEAST_SHARDS, -(-old.count() // SHARD_KEYS))
-    positives = screened(new, filters(old, shards), shards)
-    old_side = old.select("text_sha256", F.col("best").alias("old_best"), F.col("size").alias("old_size"))
+    old = snapshot or Snapshot.of(snapshot_docs)
+    new_rows = stored(digests(new_docs, True), "digests")
+    new = stored(grouped(new_rows), "groups")
+    positives = screened(new, old.filters, old.shards, new.count())
+    old_side = old.groups.select("text_sha256", F.col("best").alias("old_best"), F.col("size").alias("old_size"))
     met = stored(new.join(positives, "text_sha256").join(old_side, "text_sha256"), "met")
     texts = snapshot_docs.select("doc_id", "text").unionByName(new_docs.select("doc_id", "text"))
     same = confirmed(texts, met.select("text_sha256", F.col("best.doc_id").alias("new_id"), F.col("old_best.doc_id").alias("old_id")))
-    both = met.join(same, "text_sha256").select("text_sha256", F.least("best", "old_best").alias("best"), (F.col("size") + F.col("old_size")).alias("size"))
-    both = stored(both.withColumn("merged", F.lit(True)), "both")
+    both = met.join(same, "text_sha256").select("text_sha256", F.least("best", "old_best").alias("_b"), (F.col("size") + F.col("old_size")).alias("_s"))
+    both = stored(both, "both")
     out = []
-    for rows, groups in ((old_rows, old), (new_rows, new)):
-        joined = groups.join(both.select("text_sha256", F.col("best").alias("_b"), F.col("size").alias("_s")), "text_sha256", "left")
-        final = joined.select("text_sha256", F.coalesce("_b", "best").alias("best"), F.coalesce("_s", "size").alias("size"))
+    for rows, groups in ((old.rows, old.groups), (new_rows, new)):
+        final = groups.join(both, "text_sha256", "left").select("text_sha256", F.coalesce("_b", "best").alias("best"), F.coalesce("_s", "size").alias("size"))
         out.append(rows.join(stored(final, "final"), "text_sha256"))
-    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_points") == -F.col("best.less"))
+    discard(met)
     every = out[0].unionByName(out[1])
-    return every.select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"), stays.alias("kept"), "text_sha256")
+    return every.select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"), (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
 
 
 def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

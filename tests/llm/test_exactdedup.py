@@ -53,3 +53,27 @@ def test_collisions_of_the_filter_do_not_pass(spark):
     """A snapshot without any of the new texts: whatever the filter passes, the exact bucket refuses."""
     old, new = (documents(spark, [f"{x}{k}" for k in range(3000)]) for x in "ab")
     assert exactdedup.dedup(old, new.selectExpr("doc_id + 5000 as doc_id", "text")).where("group_size > 1").count() == 0
+
+
+def test_one_row_of_repeated_rows_stays(spark):
+    """Ids that repeat in the snapshot, in the batch and in both: one row of each group is kept, none of a unique text goes."""
+    rows = [(k % 3, t) for k, t in enumerate(["same", "s ame", "same", "b", "b", "c", "c ", " c"] * 2 + ["only", None, ""])]
+    docs = spark.createDataFrame([*rows, (None, "same"), (None, "alone"), (None, "alone")], "doc_id long, text string")
+    got = exactdedup.dedup(docs, docs.union(docs.where("text = 'b'"))).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["text_sha256"], []).append(r)
+    assert len(groups) == 6 and len(got) == 2 * 22 + 4
+    assert all(sum(r["kept"] for r in g) == 1 and {r["group_size"] for r in g} == {len(g)} for g in groups.values())
+
+
+def test_a_snapshot_is_kept(spark, tmp_path, monkeypatch):
+    """Filters that were written serve later batches, also one that is dealt to several tasks a shard."""
+    texts = [*ODD, *near_copies(3, 15)]
+    old, new = exactdedup.halves(documents(spark, [*texts, "a b c ", " abc", "a bc"]))
+    exactdedup.Snapshot.of(old).write(str(tmp_path / "s"))
+    monkeypatch.setattr(exactdedup, "SCREENED", 1)
+    monkeypatch.setattr(exactdedup, "LEAST_SHARDS", 4)
+    kept = exactdedup.Snapshot.read(spark, str(tmp_path / "s"))
+    want = {tuple(r) for r in exactdedup.dedup(old, new).collect()}
+    assert {tuple(r) for r in exactdedup.dedup(old, new, kept).collect()} == want and kept.shards == 256

@@ -1,23 +1,26 @@
 """N-gram Jaccard join by signature trees.
 
-1. Every text becomes a set of 64-bit shingle hashes; texts with the same set are one node.
+1. One pass over the texts makes sets of 64-bit shingle hashes. Texts with the same set are one node, known by 128 bits.
 2. Suspects: a set that links has at least t of its shingles in common with one other set. All shingles are dealt by
    ranges of the hash, as packed arrays; a range tells which of its shingles stand in several sets; sets with too few of
-   those are out. Only the others, few of a clean corpus, are looked at again.
+   those are out. A shingle that stands in several sets of a chunk is counted there and sent once, so one that stands in
+   every text costs a range an entry per chunk, not per text. Only the suspects, few of a clean corpus, are looked at again.
 3. Blocks: of two sets that link, one of the rarest shingles of the first (all but t of it, and one more) is among those of
    the second, by any order of the shingles. Frequent ones are last in the order, so passages that many texts share
-   put few sets together. Sets that share one of their rarest shingles form blocks; nothing is lost by this.
+   put few sets together. Sets that share one of their rarest shingles form buckets, and buckets that share a set blocks;
+   nothing is lost by this.
 4. In a block, a signature tree over the sets: a node holds the OR of its sets' token bitmaps and their size range. A
    dual traversal of the tree with itself drops pairs of nodes whose sizes are too far apart or whose largest possible
    overlap is too small, and pairs of nodes that are connected already; pairs of sets left over are compared exactly.
 5. A block of more than BLOCK sets is cut into random parts. Each part is traversed together with some pivots of the
-   block; the sets that are then connected are dealt together, and only pairs of parts that aren't wholly of one
-   component are traversed. So a huge group of near copies costs its size times the pivots, not its square.
+   block, which connects most of a large group of near copies at a cost of its size times the pivots. What is left is
+   looked at by bucket, not by block: only buckets whose sets aren't of one component yet, and those with the same sets
+   once. Sets of one component are dealt together; pairs of parts of one component are not traversed.
 
 Defined results: a text with fewer words than a shingle has is one shingle; texts without words, empty and null ones have
 no shingles, link with nothing and are their own component; texts of equal sets link; repeated rows (of one doc_id
-too) are rows of their own; a row with a null doc_id and without links has a null component; an empty table gives no
-rows; other columns are ignored or kept, see keep_one.
+too) are rows of their own; a row with a null doc_id links like any other, and has a null component only if no row of its
+component has an id; an empty table gives no rows; other columns are ignored or kept, see keep_one.
 """
 
 from __future__ import annotations
@@ -39,8 +42,10 @@ from gristmill.operators.components import components
 BLOCK, PIVOTS = 64, 16
 FANOUT = 8
 CACHE_WORDS = 200_000
-#: Sets and shingles of a chunk at most (shingles: and one slice of texts); shingles of a range.
-CHUNK_SETS, CHUNK_SHINGLES, RANGE_SHINGLES = 1 << 16, 1_200_000, 4_000_000
+#: Sets and shingles of a chunk at most (shingles: and one slice of texts); the number of no set of a chunk.
+CHUNK_SETS, CHUNK_SHINGLES, SEVERAL = (1 << 16) - 1, 1_200_000, (1 << 16) - 1
+#: Shingles that a range is meant for, and bytes of text that one is reckoned to take.
+RANGE_SHINGLES, SHINGLE_BYTES = 4_000_000, 6
 #: Edges that a task holds before it contracts them.
 HELD_EDGES = 1_000_000
 _A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
@@ -75,81 +80,77 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(h)
 
 
-def node_of(found: np.ndarray) -> int:
-    return int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
-def nodes_of(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n and node of every row; a null node without shingles."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def scan(batches):
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for first, texts in rows_of(batch, "text"):
-                found = [shingles(t, words) for t in texts]
-                nodes = [node_of(x) if len(x) else None for x in found]
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(texts)), pa.array([len(x) for x in found], pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "n", "node"])
-
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n long, node long")
+def node_of(found: np.ndarray) -> bytes:
+    return blake2b(found.tobytes(), digest_size=16).digest()
 
 
 # ---------------------------------------------------------------- suspects
 
 
-def _dealt(docs: DataFrame, words: int, ranges: int) -> DataFrame:
-    """All shingles by range: rows (range, chunk, a, b) of 32-bit hashes a and 16-bit numbers b of the sets in the chunk.
+def scanned(docs: DataFrame, words: int, ranges: int) -> DataFrame:
+    """The only pass over all texts. Two kinds of rows, the other's columns null:
 
-    A chunk is up to CHUNK_SETS sets of a task, each node once; a row with a negative range has its nodes and sizes.
+    doc_id, n, node (null without shingles) and print (a hash of the text) of every row;
+    chunk, range, a, b: all shingles by range, as 32-bit hashes a and 16-bit numbers b of the sets in the chunk. A chunk is
+    up to CHUNK_SETS sets of a task, each node once. A shingle of several sets of the chunk is there once, as of set
+    SEVERAL; a row with a negative range has the chunk's nodes, their sizes and how many such shingles they have.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n", "node", "print", "chunk", "range", "a", "b"]
 
     def scan(batches):
         from pyspark import TaskContext
 
-        chunk = (TaskContext.get().partitionId() << 24) - 1
-        seen: set[int] = set()
-        held: list[np.ndarray] = []
-        names: list[int] = []
+        chunk, seen, held, size = TaskContext.get().partitionId() << 24, set(), {}, 0
         for batch in batches:
-            for _, texts in rows_of(batch, "text"):
-                for t in texts:
-                    found = shingles(t, words)
-                    node = node_of(found)
-                    if len(found) and node not in seen:
-                        if len(seen) > 1_000_000:
-                            seen.clear()
-                        seen.add(node)
-                        held.append(found)
-                        names.append(node)
+            ids, prints = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "print"))
+            for first, texts in rows_of(batch, "text"):
+                found = [shingles(t, words) for t in texts]
+                nodes = [node_of(x) if len(x) else None for x in found]
+                told = [ids.slice(first, len(texts)), pa.array([len(x) for x in found], pa.int64()), pa.array(nodes, pa.binary()), prints.slice(first, len(texts))]
+                none = [pa.nulls(len(texts), t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*told, *none], names=names)
+                for node, x in zip(nodes, found, strict=True):
+                    if node is None or node in seen:
+                        continue
+                    if len(seen) > 500_000:
+                        seen = set(held)
+                    seen.add(node)
+                    held[node], size = x, size + len(x)
                     if len(held) == CHUNK_SETS:
-                        chunk += 1
-                        yield packed(held, names, chunk)
-                        held, names = [], []
-                if sum(map(len, held)) > CHUNK_SHINGLES:
-                    chunk += 1
-                    yield packed(held, names, chunk)
-                    held, names = [], []
+                        yield dealt(held, chunk, ids.type)
+                        held, size, chunk = {}, 0, chunk + 1
+                if size > CHUNK_SHINGLES:
+                    yield dealt(held, chunk, ids.type)
+                    held, size, chunk = {}, 0, chunk + 1
         if held:
-            yield packed(held, names, chunk + 1)
-
-    def packed(held, names, chunk):
-        h = np.concatenate(held)
-        size = np.array([len(x) for x in held], dtype=np.uint32)
-        owner = np.repeat(np.arange(len(held), dtype=np.uint16), size)
-        part = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.uint16 if ranges < 1 << 16 else np.int64)
-        order = np.argsort(part, kind="stable")
-        part, low, owner = part[order], h[order].astype(np.uint32), owner[order]
+            yield dealt(held, chunk, ids.type)
+
+    def dealt(held, chunk, id_type):
+        n = np.array([len(x) for x in held.values()], dtype=np.uint32)
+        h, owner = np.concatenate(list(held.values())), np.repeat(np.arange(len(held), dtype=np.uint16), n)
+        order = np.argsort(h)
+        h, owner = h[order], owner[order]
+        first = np.r_[True, h[1:] != h[:-1]]
+        alone = first & np.r_[first[1:], True]
+        several = np.bincount(owner[~alone], minlength=len(held)).astype(np.uint32)
+        owner[~alone] = SEVERAL
+        h, owner = h[first], owner[first]
+        part = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)  # ascends with h
         start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        stop = np.r_[start[1:], len(part)]
-        a = [np.array(names, dtype=np.int64).tobytes(), *(low[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
-        b = [size.tobytes(), *(owner[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
-        return pa.RecordBatch.from_pydict({"range": pa.array([-1 - chunk % ranges, *part[start].tolist()], pa.int32()), "chunk": pa.array([chunk] * len(a), pa.int64()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        stop, low = np.r_[start[1:], len(part)], h.astype(np.uint32)
+        a = [b"".join(held), *(low[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
+        b = [n.tobytes() + several.tobytes(), *(owner[x:y].tobytes() for x, y in zip(start, stop, strict=True))]
+        none = [pa.nulls(len(a), t) for t in (id_type, pa.int64(), pa.binary(), pa.int64())]
+        own = [pa.array([chunk] * len(a), pa.int64()), pa.array([-1 - chunk % ranges, *part[start].tolist()], pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())]
+        return pa.RecordBatch.from_arrays([*none, *own], names=names)
 
-    return docs.select("text").mapInArrow(scan, "range int, chunk long, a binary, b binary")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
+    return texts.mapInArrow(scan, f"doc_id {kind}, n long, node binary, print long, chunk long, range int, a binary, b binary")
 
 
 def _shared_in_range(g: pd.DataFrame) -> pd.DataFrame:
-    """Of a range: for each chunk, how many shingles of a set stand in another set too; nodes and sizes pass through."""
+    """Of a range: for each chunk, how many shingles of a set stand in other chunks too; nodes and sizes pass through."""
     if g["range"].iloc[0] < 0:
         return g[["chunk", "a", "b"]].assign(counts=False)
     a = [np.frombuffer(x, dtype=np.uint32) for x in g["a"]]
@@ -158,30 +159,28 @@ def _shared_in_range(g: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(low)
     same = low[order][1:] == low[order][:-1]
     twice = order[np.r_[False, same] | np.r_[same, False]]
+    twice = twice[owner[twice] != SEVERAL]  # those are counted in their chunk
     key, n = np.unique(source[twice] << 16 | owner[twice], return_counts=True)
-    out = []
-    for k in np.unique(key >> 16).tolist():
-        own = (key >> 16) == k
-        out.append((int(g["chunk"].iloc[k]), (key[own] & 0xFFFF).astype(np.uint16).tobytes(), n[own].astype(np.uint32).tobytes(), True))
+    start = np.flatnonzero(np.r_[True, key[1:] >> 16 != key[:-1] >> 16]) if len(key) else key
+    out = [(int(g["chunk"].iloc[key[x] >> 16]), (key[x:y] & 0xFFFF).astype(np.uint16).tobytes(), n[x:y].astype(np.uint32).tobytes(), True) for x, y in zip(start, [*start[1:], len(key)], strict=False)]
     return pd.DataFrame(out, columns=["chunk", "a", "b", "counts"])
 
 
-def suspects(docs: DataFrame, words: int, t: Fraction, total: int) -> DataFrame:
-    """The nodes that have at least t of their shingles in common with others; total: shingles of all sets."""
-    ranges = max(64, -(-total // RANGE_SHINGLES))
-    shared = _dealt(docs, words, ranges).groupBy("range").applyInPandas(_shared_in_range, "chunk long, a binary, b binary, counts boolean")
+def suspects(found: DataFrame, t: Fraction) -> DataFrame:
+    """The nodes that have at least t of their shingles in common with others, out of the rows of `scanned`."""
+    rows = found.where("chunk is not null").select("range", "chunk", "a", "b")
+    shared = rows.groupBy("range").applyInPandas(_shared_in_range, "chunk long, a binary, b binary, counts boolean")
     p, q = t.numerator, t.denominator
 
     def summed(g: pd.DataFrame) -> pd.DataFrame:
         names = g[~g["counts"].astype(bool)].iloc[0]
-        nodes, size = np.frombuffer(names["a"], dtype=np.int64), np.frombuffer(names["b"], dtype=np.uint32).astype(np.int64)
-        n = np.zeros(len(nodes), dtype=np.int64)
+        size, n = np.frombuffer(names["b"], dtype=np.uint32).astype(np.int64).reshape(2, -1)
         for a, b, counts in zip(g["a"], g["b"], g["counts"], strict=True):
             if counts:
                 n[np.frombuffer(a, dtype=np.uint16)] += np.frombuffer(b, dtype=np.uint32)
-        return pd.DataFrame({"node": nodes[n * q >= p * size]})
+        return pd.DataFrame({"node": [names["a"][16 * k : 16 * k + 16] for k in np.flatnonzero(n * q >= p * size)]})
 
-    return shared.groupBy("chunk").applyInPandas(summed, "node long").distinct()
+    return shared.groupBy("chunk").applyInPandas(summed, "node binary").distinct()
 
 
 # ---------------------------------------------------------------- blocks
@@ -205,27 +204,14 @@ def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def bucket_edges(rows: DataFrame) -> DataFrame:
-    """Edges u, v that connect the nodes of each bucket.
-
-    A task contracts the edges of its buckets to a spanning forest, so that few rows are left of the many buckets that
-    near copies share; above HELD_EDGES it sends on what it has.
-    """
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges u, v that connect what those given connect: a spanning forest per task, so that few rows are left of the many
+    buckets that near copies share; above HELD_EDGES a task sends on what it has."""
 
     def scan(batches):
-        last, head = None, 0
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
-            sign, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            if not len(sign):
-                continue
-            start = np.r_[sign[0] != last, sign[1:] != sign[:-1]]
-            heads = np.where(start, node, 0)
-            group = np.cumsum(start)
-            lead = np.r_[head, heads[start]][group]
-            last, head = sign[-1], lead[-1]
-            other = node != lead
-            held = (np.concatenate([held[0], node[other]]), np.concatenate([held[1], lead[other]]))
+            held = tuple(np.concatenate([x, batch.column(k).to_numpy(zero_copy_only=False)]) for k, x in enumerate(held))
             if len(held[0]) > HELD_EDGES:
                 held = spanning(*held)
                 if len(held[0]) > HELD_EDGES // 2:
@@ -235,7 +221,17 @@ def bucket_edges(rows: DataFrame) -> DataFrame:
         if len(held[0]):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["u", "v"])
 
-    return rows.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(scan, "u long, v long").distinct()
+    return edges.mapInArrow(scan, "u long, v long").distinct()
+
+
+def bucket_edges(prefix: DataFrame) -> DataFrame:
+    """Edges u, v that connect the nodes of each bucket (sign, node), by the bucket's least node.
+
+    The least ones come from a partial aggregate; a very full bucket meets its own by a join of two plain tables, which
+    adaptive execution can split.
+    """
+    least = stored(prefix.groupBy("sign").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("sign", "least"), "least")
+    return contracted(prefix.join(least, "sign").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")))
 
 
 def rarest(found: DataFrame, t: Fraction) -> DataFrame:
@@ -350,7 +346,7 @@ class SignatureTree:
 
 def linked(group: pd.DataFrame, t: Fraction) -> pd.DataFrame:
     """group: node, set, start (what is connected already). Links u, v that connect its nodes."""
-    group = group.drop_duplicates("node")
+    group = group.drop_duplicates("node")  # a pivot stands in its own part too
     sets = [np.frombuffer(x, dtype=np.uint64) for x in group["set"]]
     order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][:1].tolist(), group["node"].iloc[k]))
     nodes, start = group["node"].to_numpy()[order], group["start"].to_numpy()[order]
@@ -365,79 +361,91 @@ def _links(rows: DataFrame, keys: list[str], t: Fraction) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 
-def members(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node and set of the wanted nodes, from one of their texts each.
+def members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node (its number) and set of the wanted nodes, from one text each; wanted: node, key, doc_id, print.
 
-    Buckets of the wanted ids spare most texts the shuffle; the join decides.
+    A text is known by its row's id and its hash, so null and repeated ids are no matter. Buckets of the wanted ids spare
+    most texts the shuffle; the join decides.
     """
-    wanted = stored(rows.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    found = perhaps(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id")
+    own = wanted.select("node", "key", F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+    texts = perhaps(docs.select("doc_id", "text"), wanted).withColumn("print", F.xxhash64("text"))
+    found = texts.join(own, (F.col("print") == F.col("_print")) & F.col("doc_id").eqNullSafe(F.col("_id")))
 
     def sets(batches):
         for batch in batches:
             for first, texts in rows_of(batch, "text"):
                 got = [shingles(t, words) for t in texts]
-                own = [node_of(x) for x in got]
-                node = batch.column(batch.schema.get_field_index("node")).slice(first, len(texts))
+                node, key = (batch.column(batch.schema.get_field_index(c)).slice(first, len(texts)) for c in ("node", "key"))
                 out = pa.RecordBatch.from_arrays([node, pa.array([x.tobytes() for x in got], pa.binary())], names=["node", "set"])
-                yield out.filter(pa.array([x == y for x, y in zip(own, node.to_pylist(), strict=True)], pa.bool_()))  # another row of that id
+                yield out.filter(pa.array([node_of(x) == y for x, y in zip(got, key.to_pylist(), strict=True)], pa.bool_()))
 
-    return found.select("text", "node").mapInArrow(sets, "node long, set binary")
+    return found.select("text", "node", "key").mapInArrow(sets, "node long, set binary").dropDuplicates(["node"])  # of rows that repeat whole
 
 
 def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
-    rows = stored(nodes_of(small_batches(docs), words), "rows")
-    shingles_ = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sets = stored(members(docs, rows, suspects(docs, words, threshold, shingles_), words).dropDuplicates(["node"]), "sets")
-    edges = stored(bucket_edges(rarest(sets, threshold)), "buckets")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    every = stored(scanned(small_batches(docs), words, max(64, -(-size // (SHINGLE_BYTES * RANGE_SHINGLES)))), "rows")
+    rows = every.where("chunk is null").select("doc_id", "n", "node", "print")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("at")
+    wanted = rows.join(suspects(every, threshold), "node").groupBy("node").agg(first)
+    wanted = stored(wanted.select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("key"), "at.doc_id", "at.print"), "wanted")
+    sets = stored(members(docs, wanted, words), "sets")
+    prefix = stored(rarest(sets, threshold), "prefix")
+    edges = stored(bucket_edges(prefix), "buckets")
     blocks = stored(components(edges, "blocks").withColumnRenamed("root", "block"), "blocks")
     total = stored(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "size")
-    found = stored(sets.join(blocks.join(total, "block"), "node"), "members")
-    discard(sets)
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = found.withColumn("parts", parts)
-    own = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("start", F.col("node"))
+    dealt = stored(blocks.join(total, "block").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int")), "dealt")
+    own = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     pivots = dealt.where(F.col("parts") > 1).where(F.pmod(F.xxhash64(F.lit(7), "node"), "size") < PIVOTS)
-    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("start", F.col("node"))
-    columns = ["block", "part", "node", "set", "start"]
-    first = stored(_links(own.select(columns).union(pivots.select(columns)), ["block", "part"], threshold), "links")
-    if not total.where(F.col("size") > BLOCK).isEmpty():
-        first = first.union(_between_parts(found.where(F.col("size") > BLOCK), components(first, "met"), threshold))
-    roots = components(first, "linked")
-    for used in (found, total, blocks, edges):
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    both = own.unionByName(pivots).select("block", "part", "node", F.col("node").alias("start"))
+    links = stored(_links(both.join(sets, "node"), ["block", "part"], threshold), "links")
+    large = dealt.where("parts > 1").select("node")
+    if not large.isEmpty():
+        links = links.union(_between_parts(sets, prefix.join(large, "node"), components(links, "met"), threshold))
+    roots = components(links, "linked")
+    key = lambda name: wanted.select(F.col("node").alias(f"_{name}"), F.col("key").alias(name))
+    named = roots.join(key("k"), F.col("node") == F.col("_k")).join(key("r"), F.col("root") == F.col("_r"))
+    named = stored(named.select(F.col("k").alias("node"), F.col("r").alias("root")), "roots")
+    for used in (sets, prefix, total, blocks, edges, dealt, wanted):
         discard(used)
-    return rows, roots
+    return rows.drop("print"), named
 
 
-def _between_parts(found: DataFrame, met: DataFrame, threshold: Fraction) -> DataFrame:
-    """Links between sets of a large block that the first traversal left in different components.
+def _between_parts(sets: DataFrame, prefix: DataFrame, met: DataFrame, threshold: Fraction) -> DataFrame:
+    """Links between sets of a bucket (sign, node) that the first traversal left in different components.
 
-    Sets of one component are dealt to parts of their own if they fill some; the others share parts. Pairs of parts
-    are traversed, but for pairs within one component.
+    Only buckets of several components count, and of those with the same sets one. In a bucket sets of one component are
+    dealt to parts of their own if they fill some; the others share parts. Pairs of parts are traversed, but for pairs
+    within one component.
     """
-    found = found.join(met, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root", "size")
+    rows = prefix.join(met, "node", "left").select(F.col("sign").alias("block"), "node", F.coalesce("root", "node").alias("start"))
+    rows = stored(rows, "open")
+    seen = rows.groupBy("block").agg(F.min("start").alias("low"), F.max("start").alias("high"), F.count(F.lit(1)).alias("n"), *(F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"h{k}") for k in (1, 2)))
+    once = stored(seen.where("low < high").groupBy("n", "h1", "h2").agg(F.min("block").alias("block")).select("block"), "once")
+    found = stored(rows.join(once, "block"), "contested")
     sizes = found.groupBy("block", "start").agg(F.count(F.lit(1)).alias("size"))
-    mixed_size = sizes.groupBy("block").agg(F.sum(F.when(F.col("size") < BLOCK, F.col("size")).otherwise(0)).alias("mixed"), F.count(F.lit(1)).alias("comps"))
-    sizes = sizes.join(mixed_size.where("comps > 1"), "block")
+    mixed_size = sizes.groupBy("block").agg(F.sum(F.when(F.col("size") < BLOCK, F.col("size")).otherwise(0)).alias("mixed"))
+    sizes = sizes.join(mixed_size, "block")
     owner = F.when(F.col("size") < BLOCK, F.lit(None)).otherwise(F.col("start"))
     cut = F.ceil(F.when(F.col("size") < BLOCK, F.col("mixed")).otherwise(F.col("size")) / BLOCK)
     plan = stored(sizes.select("block", "start", owner.alias("owner"), cut.alias("cut")), "plan")
-    rows = found.join(plan, ["block", "start"])
     own = F.when(F.col("owner").isNull(), F.xxhash64("start")).otherwise(F.xxhash64("node"))
-    rows = stored(rows.withColumn("part", F.concat_ws("/", F.coalesce(F.col("owner").cast("string"), F.lit("mixed")), F.pmod(own, "cut"))), "parts")
-    parts = rows.groupBy("block", "part").agg(F.first("owner").alias("owner"))
+    part = F.concat_ws("/", F.coalesce(F.col("owner").cast("string"), F.lit("mixed")), F.pmod(own, "cut"))
+    rows = stored(found.join(plan, ["block", "start"]).withColumn("part", part), "parts")
+    parts = stored(rows.groupBy("block", "part").agg(F.first("owner").alias("owner")), "pairs")
     a, b = (parts.select("block", F.col("part").alias(f"part_{x}"), F.col("owner").alias(f"owner_{x}")) for x in "ab")
     pairs = a.join(b, "block").where("part_a < part_b").where(~(F.col("owner_a") == F.col("owner_b")) | F.col("owner_a").isNull() | F.col("owner_b").isNull())
     lone = parts.where("owner is null").select("block", F.col("part").alias("part_a"), F.col("part").alias("part_b"))
     pairs = pairs.select("block", "part_a", "part_b").union(lone)
     sides = pairs.select("block", "part_a", "part_b", F.explode(F.array_distinct(F.array("part_a", "part_b"))).alias("part"))
-    return _links(sides.join(rows, ["block", "part"]), ["block", "part_a", "part_b"], threshold)
+    return _links(sides.join(rows, ["block", "part"]).join(sets, "node"), ["block", "part_a", "part_b"], threshold)
 
 
 def join(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links lead to)."""
-    rows, roots = connected(docs, words, Fraction(threshold).limit_denominator(1000))
+    rows, roots = connected(docs, words, threshold if isinstance(threshold, Fraction) else Fraction(str(threshold)))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("m"))
     nodes = stored(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "nodes")
     least = stored(nodes.groupBy("root").agg(F.min("m").alias("component_id")), "least")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gristmill.sources.shared import discard, shared_dir, stored
 
-__all__ = ["discard", "free_name", "one_thread", "perhaps", "released", "rows_of", "shared_dir", "small_batches", "stored", "table", "with_row_key", "without", "worker_cache"]
+__all__ = ["discard", "file_bytes", "free_name", "one_thread", "perhaps", "released", "rows_of", "shared_dir", "small_batches", "stored", "table", "with_row_key", "without", "worker_cache"]
 
 #: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
 ID_BUCKETS = 1 << 20
@@ -96,14 +96,20 @@ def rows_of(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
     released()
 
 
+_kept: dict[str, dict] = {}
+
+
 def worker_cache(name: str) -> dict:
     """A dict that a Python worker keeps from task to task, until another operator asks for its own."""
-    import builtins
+    if name not in _kept:
+        _kept.clear()
+    return _kept.setdefault(name, {})
+
 
-    kept = builtins.__dict__.setdefault("_gristmill_kept", {})
-    if name not in kept:
-        kept.clear()
-    return kept.setdefault(name, {})
+def file_bytes(path: str) -> bytes:
+    """A vocabulary file of the driver, to be broadcast: executors need not have it."""
+    with open(path, "rb") as f:
+        return f.read()
 
 
 def one_thread() -> None:

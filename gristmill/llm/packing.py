@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import one_thread, rows_of, small_batches, stored, table, worker_cache
+from gristmill.llm.common import file_bytes, one_thread, rows_of, small_batches, stored, table, worker_cache
 
 CAPACITY, END_ID = 4096, 1
-#: Parts into which the pieces of one length are dealt, so that a very common length is no single group.
-SALTS = 64
+#: Pieces of one length that are numbered together, so that a very common length is no single group; so many groups beyond
+#: one a length at most (they grow then).
+GROUP, GROUPS = 2048, 1 << 16
 #: Entries of a worker's cache of pre-tokens, after which it starts anew.
 CACHE_PARTS = 700_000
 #: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.
@@ -39,11 +40,13 @@ class WordIds:
     The vocabulary encodes each pre-token apart, so the ids of a text are those of its pre-tokens in a row.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str | bytes):
+        """vocabulary: a file's path or what it holds."""
         one_thread()
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
+        raw = file_bytes(vocabulary) if isinstance(vocabulary, str) else vocabulary
+        self.tokenizer, self.parts = Tokenizer.from_str(raw.decode()), {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -96,9 +99,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if wanted, ids."""
     end = np.array([end_id], dtype="<u4").tobytes()
     kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer))
 
     def cut(batches):
-        coder = worker_cache("packing").setdefault(tokenizer, None) or WordIds(tokenizer)
+        coder = worker_cache("packing").setdefault(tokenizer, None) or WordIds(sent.value)
         worker_cache("packing")[tokenizer] = coder
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
@@ -258,26 +262,32 @@ def plan_of(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarra
 
 
 def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds sequence_id and offset to rows with doc_id, piece, length and ids_crc32; found is read twice."""
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int")
-    found = found.withColumn("_salt", salt)
-    groups = found.groupBy("length", "_salt").count().collect()  # at most capacity * SALTS rows
-    counts, by_salt = defaultdict(int), np.zeros((capacity + 1, SALTS), dtype=np.int64)
-    for length, s, n in groups:
-        counts[length] += n
-        by_salt[length, s] = n
+    """Adds sequence_id and offset to rows with doc_id, piece, length and ids_crc32; found is read three times."""
+    counts = {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}  # at most capacity rows
+    size = max(GROUP, sum(counts.values()) // GROUPS)
+    parts = found.sparkSession.createDataFrame([(length, -(-n // size)) for length, n in counts.items() if n > size], "length long, _parts long")
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.coalesce("_parts", F.lit(1)))
+    found = found.join(F.broadcast(parts), "length", "left").withColumn("_salt", salt).select(*found.columns, "_salt")
+    first = np.zeros(capacity + 1, dtype=np.int64)  # where the groups of a length begin among all
+    for length, n in counts.items():
+        first[length] = -(-n // size)
+    first = np.cumsum(first) - first
+    sizes = np.zeros(int(first[-1]) + 2 + GROUPS, dtype=np.int64)
+    for length, s, n in found.groupBy("length", "_salt").count().collect():  # at most capacity + GROUPS rows
+        sizes[first[length] + s] = n
     plan, _ = plan_of(counts, capacity)
-    before = np.cumsum(by_salt, axis=1) - by_salt
+    before = np.cumsum(sizes) - sizes
+    before -= before[np.repeat(first, np.diff(np.r_[first, len(sizes)]))]
     span = 1 << 40
     keys = plan[:, 0] * span + plan[:, 1]
     rank = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")).cast("long") - 1
-    model = found.sparkSession.sparkContext.broadcast((plan, keys, before))  # bounded by the capacity
+    model = found.sparkSession.sparkContext.broadcast((plan, keys, first, before))  # bounded by the capacity and GROUPS
 
     def assign(batches):
-        plan, keys, before = model.value
+        plan, keys, first, before = model.value
         for batch in batches:
             length, salt, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "_salt", "_rank"))
-            rank = rank + before[length, salt]
+            rank = rank + before[first[length] + salt]
             row = plan[np.searchsorted(keys, length * span + rank, side="right") - 1]
             rank = rank - row[:, 1]
             out = {"sequence_id": row[:, 3] + rank // row[:, 5], "offset": row[:, 4] + rank % row[:, 5] * length}

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from gristmill.llm.common import rows_of, table, worker_cache
+from gristmill.llm.common import file_bytes, rows_of, table, worker_cache
 
 SAMPLES, SHIFT = 2, 2.7
 BLANK = "▁"
@@ -53,10 +53,11 @@ def uniform(key: np.ndarray, stream: int, place: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Pieces with log weights, as hashes of their characters; hashes of their beginnings."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str | bytes):
+        """vocabulary: a model file's path or what it holds."""
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_proto=file_bytes(vocabulary) if isinstance(vocabulary, str) else vocabulary)
         size = model.get_piece_size()
         pieces = [model.id_to_piece(i) for i in range(size)]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
@@ -301,10 +302,11 @@ class Sampler:
         return ids.astype(np.uint32)
 
 
-def vocabulary_of(path: str) -> Vocabulary:
+def vocabulary_of(path: str, raw: bytes) -> Vocabulary:
+    """A worker's vocabulary of a model, whose bytes the driver sent."""
     kept = worker_cache("pieces")
     if path not in kept:
-        kept[path] = Vocabulary(path)
+        kept[path] = Vocabulary(raw)
     return kept[path]
 
 
@@ -321,9 +323,10 @@ def encode(docs: DataFrame, model: str, samples: int = SAMPLES, with_ids: bool =
     back the text) and, if wanted, ids.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(file_bytes(model))
 
     def run(batches):
-        vocabulary = vocabulary_of(model)
+        vocabulary = vocabulary_of(model, sent.value)
         blank = BLANK.encode()
         for batch in batches:
             own = batch.column(batch.schema.get_field_index("doc_id"))
@@ -354,8 +357,10 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """Adds text to rows with ids; null ids give a null text, ids out of the vocabulary an error."""
     from pyspark.sql.types import StringType, StructField, StructType
 
+    sent = encoded.sparkSession.sparkContext.broadcast(file_bytes(model))
+
     def run(batches):
-        vocabulary = vocabulary_of(model)
+        vocabulary = vocabulary_of(model, sent.value)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
             text = [None if x is None else decoded(x, vocabulary).decode("utf-8", "replace") for x in ids]

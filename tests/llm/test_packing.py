@@ -102,3 +102,10 @@ def test_reduction_never_costs_a_bin(sizes):
     for length, _, bins, _, _, each in plan.tolist():
         used[length] += bins * each
     assert used == counts
+
+
+def test_very_common_lengths_are_numbered_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 3)
+    texts = [*ODD, *near_copies(5, 20), *(f"common words {k % 7}" for k in range(200)), *["same text here"] * 60]
+    rows = packing.pack_documents(documents(spark, texts), packing.default_tokenizer(), 64).collect()
+    check(rows, texts, 64)

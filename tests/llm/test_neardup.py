@@ -76,9 +76,35 @@ def test_audit_sees_lost_pairs_beside_a_large_group(spark):
     rng = np.random.default_rng(3)
     pairs = np.repeat(rng.normal(size=(60, 32)), 2, axis=0) + rng.normal(size=(120, 32)) * 0.05
     x = [*(rng.normal(size=32) + rng.normal(size=(100, 32)) * 0.02), *pairs]
-    rows, _ = neardup.collapsed(neardup.units(table(spark, x)))
+    every = neardup.units(table(spark, x))
+    rows, _ = neardup.collapsed(every)
     want = brute(x)
     told = [(k, n, root) for k, (n, root, _) in want.items() if n]
     whole = spark.createDataFrame(told, "vec_id long, n_links long, root long")
-    assert neardup.audit(rows, whole, 32, len(x), 0.95) == 1.0
-    assert neardup.audit(rows, whole.where("vec_id < 100"), 32, len(x), 0.95) < 0.5
+    assert neardup.audit(every, rows, whole, 32, len(x), 0.95) == 1.0
+    assert neardup.audit(every, rows, whole.where("vec_id < 100"), 32, len(x), 0.95) < 0.5
+
+
+def test_counts_within_components(spark, monkeypatch):
+    """Shells that link wholly, not at all, and tiles in between, against all pairs; equal vectors weigh what they are."""
+    monkeypatch.setattr(neardup, "TILE", 7)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=24)
+    x = [base + rng.normal(size=24) * s for s in (0.001, 0.05, 0.1, 0.2, 0.4, 1.5) for _ in range(25)]
+    x = np.array(x) / np.linalg.norm(x, axis=1)[:, None]
+    m = rng.integers(1, 4, len(x))
+    rows = spark.createDataFrame([(k, v.tolist(), int(w)) for k, (v, w) in enumerate(zip(x, m, strict=True))], "vec_id long, u array<double>, m long")
+    members = rows.selectExpr("vec_id", "vec_id % 2 as root")
+    links = (x @ x.T >= 0.95) & (np.arange(len(x))[:, None] % 2 == np.arange(len(x))[None, :] % 2)
+    np.fill_diagonal(links, False)
+    got = {r["vec_id"]: r["n"] for r in neardup.enlarged(rows, members, 0.95).collect()}
+    assert got == dict(enumerate((links @ m).tolist())) and len(set(got.values())) > 20
+
+
+def test_tight_groups_are_not_compared(spark):
+    """Of a group within half the threshold's angle no vector goes to a tile."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=16)
+    x = [base + rng.normal(size=16) * 0.01 for _ in range(400)]
+    found = neardup.near_duplicates(table(spark, x)).collect()
+    assert {(r["n_links"], r["component_id"], r["audited_recall"]) for r in found} == {(399, 0, 1.0)}

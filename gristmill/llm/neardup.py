@@ -56,27 +56,30 @@ def units(vectors: DataFrame) -> DataFrame:
 
     Stored as they are read: only vectors whose id may be one of the repeated ones are shuffled.
     """
-    e = F.transform("embedding", lambda x: x.cast("double"))
-    ok = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = vectors.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ok).select("vec_id", e.alias("e"))
-    rows = rows.withColumn("top", F.aggregate("e", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))).where("top > 0")
-    rows = rows.withColumn("e", F.transform("e", lambda x: x / F.col("top")))
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x)))
-    rows = stored(rows.select(F.col("vec_id").alias("doc_id"), F.transform("e", lambda x: x / F.col("norm") + 0.0).alias("u")), "read")
-
-    def halved(batches):
-        for batch in batches:
-            half = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float16).tobytes()
-            ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False)) * 2
-            h = [half[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h, pa.binary())], names=["vec_id", "u", "h"])
+    kind = vectors.schema["vec_id"].dataType.simpleString()
 
+    def scaled(batches):
+        for batch in batches:
+            lengths = np.nan_to_num(batch.column(1).value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            flat, ends = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum(lengths)
+            for size in np.unique(lengths[lengths > 0]).tolist():
+                row = np.flatnonzero(lengths == size)
+                x = flat[(ends[row] - size)[:, None] + np.arange(size)]
+                ok = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)  # a null component came as NaN
+                row, x = row[ok], x[ok]
+                x /= np.abs(x).max(axis=1, initial=0)[:, None]
+                x = x / np.sqrt((x * x).sum(axis=1))[:, None] + 0.0  # no negative zeros
+                u = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * size, pa.int32()), pa.array(x.ravel()))
+                h = pa.array([y.tobytes() for y in x.astype(np.float16)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), u, h], names=["doc_id", "u", "h"])
+
+    read = vectors.where("embedding is not null and vec_id is not null").select("vec_id", "embedding")
+    rows = stored(read.mapInArrow(scaled, f"doc_id {kind}, u array<double>, h binary"), "read")
     repeated = stored(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
-        again = perhaps(rows, repeated).join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("u").alias("u"))
-        rows = without(rows, repeated).union(again)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(halved, f"vec_id {kind}, u array<double>, h binary")
+        again = perhaps(rows, repeated).join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("u", "h")).alias("x"))
+        rows = without(rows, repeated).union(again.select("doc_id", "x.u", "x.h"))
+    return rows.withColumnRenamed("doc_id", "vec_id")
 
 
 def collapsed(every: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -345,7 +348,7 @@ def audit(every: DataFrame, rows: DataFrame, links: DataFrame, size: int, count:
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, most: int = NEIGHBOURS) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (the smallest vec_id that links lead to), kept, and the recall that
     the audit found (the same in all rows; 1 if no vector of the sample has links)."""
-    every = stored(units(vectors), "units")
+    every = units(vectors)
     lengths = [r[0] for r in every.select(F.size("u").alias("d")).groupBy("d").count().collect()]  # as many as there are lengths
     distinct, first = collapsed(every)
     found, least = None, 1.0

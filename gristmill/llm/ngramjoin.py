@@ -13,9 +13,10 @@
    dual traversal of the tree with itself drops pairs of nodes whose sizes are too far apart or whose largest possible
    overlap is too small, and pairs of nodes that are connected already; pairs of sets left over are compared exactly.
 5. A block of more than BLOCK sets is cut into random parts. Each part is traversed together with some pivots of the
-   block, which connects most of a large group of near copies at a cost of its size times the pivots. What is left is
-   looked at by bucket, not by block: only buckets whose sets aren't of one component yet, and those with the same sets
-   once. Sets of one component are dealt together; pairs of parts of one component are not traversed.
+   block, which connects most of a large group of near copies at a cost of its size times the pivots. Blocks that aren't
+   of one component then are traversed again: as a whole up to WHOLE_SETS sets, so that each is sent once; beyond that by
+   bucket, as large blocks have few links: only buckets whose sets aren't of one component yet, and those with the same
+   sets once. Sets of one component are dealt together; pairs of parts of one component are not traversed.
 
 Defined results: a text with fewer words than a shingle has is one shingle; texts without words, empty and null ones have
 no shingles, link with nothing and are their own component; texts of equal sets link; repeated rows (of one doc_id
@@ -40,6 +41,8 @@ from gristmill.operators.components import components
 
 #: Sets of a block's part that are traversed together, and pivots of a block that meet all its parts (expected).
 BLOCK, PIVOTS = 64, 16
+#: A larger block of at most so many sets and bytes is looked at again as a whole; beyond that by bucket.
+WHOLE_SETS, WHOLE_BYTES = 2048, 48 << 20
 FANOUT = 8
 CACHE_WORDS = 200_000
 #: Sets and shingles of a chunk at most (shingles: and one slice of texts); the number of no set of a chunk.
@@ -388,22 +391,28 @@ def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFra
     every = stored(scanned(small_batches(docs), words, max(64, -(-size // (SHINGLE_BYTES * RANGE_SHINGLES)))), "rows")
     rows = every.where("chunk is null").select("doc_id", "n", "node", "print")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("at")
-    wanted = rows.join(suspects(every, threshold), "node").groupBy("node").agg(first)
+    wanted = rows.groupBy("node").agg(first).join(suspects(every, threshold), "node", "left_semi")  # copies are combined first
     wanted = stored(wanted.select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("key"), "at.doc_id", "at.print"), "wanted")
     sets = stored(members(docs, wanted, words), "sets")
     prefix = stored(rarest(sets, threshold), "prefix")
     edges = stored(bucket_edges(prefix), "buckets")
     blocks = stored(components(edges, "blocks").withColumnRenamed("root", "block"), "blocks")
-    total = stored(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "size")
-    dealt = stored(blocks.join(total, "block").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int")), "dealt")
+    weighed = blocks.join(sets.select("node", F.octet_length("set").alias("bytes")), "node")
+    total = stored(weighed.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes")), "size")
+    whole = (F.col("size") <= WHOLE_SETS) & (F.col("bytes") <= WHOLE_BYTES)
+    dealt = blocks.join(total, "block").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("whole", whole)
+    dealt = stored(dealt.drop("bytes"), "dealt")
     own = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     pivots = dealt.where(F.col("parts") > 1).where(F.pmod(F.xxhash64(F.lit(7), "node"), "size") < PIVOTS)
     pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     both = own.unionByName(pivots).select("block", "part", "node", F.col("node").alias("start"))
     links = stored(_links(both.join(sets, "node"), ["block", "part"], threshold), "links")
-    large = dealt.where("parts > 1").select("node")
+    large = dealt.where("parts > 1").select("block", "node", "whole")
     if not large.isEmpty():
-        links = links.union(_between_parts(sets, prefix.join(large, "node"), components(links, "met"), threshold))
+        met = stored(components(links, "met"), "met")
+        one = _undecided(large.where("whole").select("block", "node"), met)
+        buckets = prefix.join(large.where("not whole").select("node"), "node").select(F.col("sign").alias("block"), "node")
+        links = links.union(_links(one.join(sets, "node"), ["block"], threshold)).union(_between_parts(sets, _undecided(buckets, met), threshold))
     roots = components(links, "linked")
     key = lambda name: wanted.select(F.col("node").alias(f"_{name}"), F.col("key").alias(name))
     named = roots.join(key("k"), F.col("node") == F.col("_k")).join(key("r"), F.col("root") == F.col("_r"))
@@ -413,18 +422,21 @@ def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFra
     return rows.drop("print"), named
 
 
-def _between_parts(sets: DataFrame, prefix: DataFrame, met: DataFrame, threshold: Fraction) -> DataFrame:
-    """Links between sets of a bucket (sign, node) that the first traversal left in different components.
-
-    Only buckets of several components count, and of those with the same sets one. In a bucket sets of one component are
-    dealt to parts of their own if they fill some; the others share parts. Pairs of parts are traversed, but for pairs
-    within one component.
-    """
-    rows = prefix.join(met, "node", "left").select(F.col("sign").alias("block"), "node", F.coalesce("root", "node").alias("start"))
+def _undecided(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """Of rows (block, node) those of blocks with several components, with start, the node's; of blocks with the same nodes one."""
+    rows = rows.join(met, "node", "left").select("block", "node", F.coalesce("root", "node").alias("start"))
     rows = stored(rows, "open")
     seen = rows.groupBy("block").agg(F.min("start").alias("low"), F.max("start").alias("high"), F.count(F.lit(1)).alias("n"), *(F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"h{k}") for k in (1, 2)))
     once = stored(seen.where("low < high").groupBy("n", "h1", "h2").agg(F.min("block").alias("block")).select("block"), "once")
-    found = stored(rows.join(once, "block"), "contested")
+    return stored(rows.join(once, "block"), "contested")
+
+
+def _between_parts(sets: DataFrame, found: DataFrame, threshold: Fraction) -> DataFrame:
+    """Links between sets of a bucket that the first traversal left in different components; found: block, node, start.
+
+    In a bucket sets of one component are dealt to parts of their own if they fill some; the others share parts. Pairs of
+    parts are traversed, but for pairs within one component.
+    """
     sizes = found.groupBy("block", "start").agg(F.count(F.lit(1)).alias("size"))
     mixed_size = sizes.groupBy("block").agg(F.sum(F.when(F.col("size") < BLOCK, F.col("size")).otherwise(0)).alias("mixed"))
     sizes = sizes.join(mixed_size, "block")

@@ -30,8 +30,10 @@ def test_against_all_pairs(spark, words, t):
     assert got == brute(texts, words, t)
 
 
-def test_large_block_in_parts(spark):
-    """Near copies in a chain: blocks far above BLOCK, links that no pivot sees."""
+@pytest.mark.parametrize("whole", [0, 2048])
+def test_large_block_in_parts(spark, monkeypatch, whole):
+    """Near copies in a chain: blocks far above BLOCK, links that no pivot sees; looked at again by bucket or as a whole."""
+    monkeypatch.setattr(ngramjoin, "WHOLE_SETS", whole)
     base = [f"w{k}" for k in range(60)]
     texts = [" ".join(base[:k] + [f"n{k}"] + base[k + 1 :]) for k in range(60)] * 2 + [" ".join([*(f"m{k}x{j}" for j in range(j0)), *base[j0:]]) for k in range(60) for j0 in (1, 2, 9)]
     t = Fraction(4, 5)
@@ -97,8 +99,10 @@ def test_common_shingles_are_sent_once_a_chunk(spark):
     assert (sent == ngramjoin.SEVERAL).sum() == 18 and len(sent) == 18 + 300 * 40
 
 
-def test_blocks_that_grow_together(spark):
-    """A chain of unlinked sets that share a rare shingle each: one block, but nothing beyond its buckets is compared."""
+@pytest.mark.parametrize("whole", [0, 2048])
+def test_blocks_that_grow_together(spark, monkeypatch, whole):
+    """A chain of unlinked sets that share a rare shingle each: one block, by bucket or as a whole."""
+    monkeypatch.setattr(ngramjoin, "WHOLE_SETS", whole)
     words = [[f"a{k}x{j}" for j in range(30)] for k in range(400)]
     texts = [" ".join([*words[k][:28], *words[(k + 1) % 400][:6]]) for k in range(400)] + [" ".join([*words[k][:28], *words[(k + 1) % 400][:5], "z"]) for k in (3, 250)]
     t = Fraction(4, 5)

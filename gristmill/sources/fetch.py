@@ -7,7 +7,9 @@ one task.
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,12 +19,15 @@ from pyspark.sql import types as T
 
 from gristmill.functions import text
 from gristmill.operators import patch
-from gristmill.sources.shared import stored
+from gristmill.sources import rulefiles
+from gristmill.sources.shared import discard, path_of, stored, write_text
 
 # The defaults of a fetch.
 CONCURRENCY, RETRIES, TIMEOUT, DELAY = 8, 3, 30, 0.2
-HEADER_LINES = 200
+HEADER_LINES, PATCHED = 200, 226
+AGENT = "Mozilla/5.0 (compatible; gristmill/1.0)"
 META = "url string, path string, etag string, last_modified string, content_sha256 string, status_code int, fetched_at long, diff_path string, list_checksum string"
+LISTS = "url string, name string, body binary"
 RESULT = "url string, status_code int, body binary, etag string, last_modified string, attempts int, error string"
 
 Transport = Callable[[str, dict[str, str]], tuple[int, dict[str, str], bytes]]
@@ -59,49 +64,57 @@ def paced(asked: DataFrame, order: str, delay: float = DELAY) -> DataFrame:
     return asked.withColumn("ordinal", n).withColumn("not_before", n * F.lit(delay))
 
 
-def urllib_transport(url: str, headers: dict[str, str]) -> tuple[int, dict[str, str], bytes]:
+def urllib_transport(url: str, headers: dict[str, str], timeout: float = TIMEOUT) -> tuple[int, dict[str, str], bytes]:
     from urllib.error import HTTPError
     from urllib.request import Request, urlopen
 
     try:
-        with urlopen(Request(url, headers=headers), timeout=TIMEOUT) as r:
+        with urlopen(Request(url, headers=headers), timeout=timeout) as r:
             return r.status, dict(r.headers), r.read()
     except HTTPError as e:
         return e.code, dict(e.headers), b""
 
 
-def fetch(asked: DataFrame, transport: Transport = urllib_transport, retries: int = RETRIES, delay: float = DELAY, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """Runs the requests; a row per URL as in RESULT. 429, 5xx and errors are tried again, other answers are final."""
+def fetch(asked: DataFrame, transport: Transport = urllib_transport, retries: int = RETRIES, delay: float = DELAY, sleep: Callable[[float], None] = time.sleep, concurrency: int = CONCURRENCY) -> DataFrame:
+    """Runs the requests; a row per URL as in RESULT. 429, 5xx and errors are tried again, other answers are final.
+
+    Each origin's requests run in one task, at most `concurrency` tasks. When they start is `paced`, what is waited
+    before another attempt is `backoff`, with a jitter by the hash of URL and attempt; both come as columns.
+    """
+    jitter = lambda k: F.pmod(F.xxhash64("url", k), F.lit(1000)) / 1000.0
+    waits = F.transform(F.sequence(F.lit(1), F.lit(retries)), lambda k: backoff(k, jitter(k))) if retries else F.array().cast("array<double>")
 
     def one(row) -> tuple:
-        headers = {k: v for k, v in (("If-None-Match", row.if_none_match), ("If-Modified-Since", row.if_modified_since)) if isinstance(v, str)}
-        status, got, body, error = None, {}, None, None
-        for attempt in range(1, retries + 2):
+        told = (("User-Agent", AGENT), ("If-None-Match", row.if_none_match), ("If-Modified-Since", row.if_modified_since))
+        headers = {k: v for k, v in told if isinstance(v, str)}
+        for attempt, wait in enumerate([*row.waits, None], 1):
             try:
                 status, got, body = transport(row.url, headers)
                 error = None
             except Exception as e:  # any failure of a transport counts as an attempt
                 status, got, body, error = None, {}, None, f"{type(e).__name__}: {e}"
-            if status is not None and status != 429 and not 500 <= status <= 599:
+            if wait is None or status is not None and status != 429 and not 500 <= status <= 599:
                 break
-            if attempt <= retries:
-                sleep(min(0.5 * 2 ** (attempt - 1), 10.0))
+            sleep(wait)
         low = {k.lower(): v for k, v in got.items()}
         return row.url, status, body if status == 200 else None, low.get("etag"), low.get("last-modified"), attempt, error
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begun: dict[str, float] = {}
         last: dict[str, float] = {}
         for frame in frames:
             out = []
             for row in frame.itertuples():
-                wait = last.get(row.origin, 0.0) + delay - time.time()
+                now = time.time()
+                wait = max(begun.setdefault(row.origin, now) + row.not_before, last.get(row.origin, 0.0) + delay) - now
                 if wait > 0:
                     sleep(wait)
                 out.append(one(row))
                 last[row.origin] = time.time()
             yield pd.DataFrame(out, columns=["url", "status_code", "body", "etag", "last_modified", "attempts", "error"]).astype({"status_code": "Int32"})
 
-    return asked.repartition("origin").select("url", "origin", "if_none_match", "if_modified_since").mapInPandas(run, RESULT)
+    rows = paced(asked, "url", delay).withColumn("waits", waits).repartition(concurrency, "origin").sortWithinPartitions("origin", "ordinal")
+    return rows.select("url", "origin", "if_none_match", "if_modified_since", "not_before", "waits").mapInPandas(run, RESULT)
 
 
 def patch_outcome(status: Column, body: Column) -> Column:
@@ -128,17 +141,76 @@ def updated_by_patch(lists: DataFrame, transport: Transport = urllib_transport,
     return done.withColumn("why", why).withColumn("result", F.when(F.col("why") == "patched", F.col("result"))).select(*lists.columns, "result", "why")
 
 
-def refresh(spark, urls: DataFrame, meta: DataFrame, folder: str, now: int, transport: Transport = urllib_transport, **how) -> dict[str, int]:
-    """Fetches lists into a folder: bodies as Parquet by file name, metadata beside; returns the numbers by status."""
+def read_lists(spark, folder: str) -> DataFrame:
+    """url, name and body of the lists that a cache folder holds; none without one."""
+    fs, path = path_of(spark, f"{folder}/lists")
+    return spark.read.schema(LISTS).parquet(path.toString()) if fs.exists(path) else spark.createDataFrame([], LISTS)
+
+
+def _write_lists(lists: DataFrame, folder: str) -> None:
+    """Puts the table in place of the one before by a rename, once it is written whole."""
+    spark = lists.sparkSession
+    fs, path = path_of(spark, f"{folder}/lists")
+    new = path.suffix(f"-{uuid.uuid4().hex}")
+    lists.write.parquet(new.toString())
+    fs.delete(path, True)
+    if not fs.rename(new, path):
+        raise OSError(f"could not write {path.toString()}")
+
+
+def stated(lists: DataFrame) -> DataFrame:
+    """url, diff_path and list_checksum as the header lines of lists (url, body) state them; null where they don't."""
+    every = rulefiles.numbered(F.col("body").cast("string"))
+    rows = lists.select("url", F.explode(F.slice(every, 1, HEADER_LINES)).alias("l")).select("url", "l.line_no", "l.raw")
+    return header_meta(directives(rows)).select("url", "diff_path", "list_checksum")
+
+
+def refresh(spark, urls: DataFrame, meta: DataFrame, folder: str, now: int, transport: Transport = urllib_transport, out: str | None = None, **how) -> dict[str, int]:
+    """Brings the lists of a cache folder up to date; returns the numbers by status.
+
+    A cached list that names a patch is patched; if that fails, and all others, are fetched, with validators where a body
+    is cached. A new body must have the checksum that it states, else the cached one stays. An answer of 304 refreshes
+    the metadata, and is a failure without a cached body. The folder keeps one body per URL (lists), metadata (meta) and
+    fetch_summary.json. With `out`, all lists that are there are written to that folder as text files, left-over and
+    repeated files are deleted.
+    """
     known = stored(meta, "meta")
-    got = stored(fetch(requests(urls.distinct(), known), transport, **how), "fetched")
-    told = got.join(known.select("url", F.lit(True).alias("_known")), "url", "left")
-    told = told.withColumn("status", outcome(F.coalesce("status_code", F.lit(0)), F.coalesce("_known", F.lit(False))))
-    new = told.where("status = 'ok'")
-    new.select(text.safe_file_name(F.col("url")).alias("name"), "url", "body").write.mode("append").parquet(f"{folder}/lists")
-    records = new.select("url", text.safe_file_name(F.col("url")).alias("path"), "etag", "last_modified", F.sha2("body", 256).alias("content_sha256"), "status_code", F.lit(now).cast("long").alias("fetched_at"))
+    lists = stored(read_lists(spark, folder).join(urls.distinct(), "url", "left_semi"), "lists")
+    own = known.select("url", F.col("diff_path").alias("_d"), F.col("list_checksum").alias("_c"))
+    told = lists.join(stated(lists), "url", "left").join(own, "url", "left")
+    told = told.select("url", F.col("body").cast("string").alias("text"), F.coalesce("diff_path", "_d").alias("diff_path"), F.coalesce("list_checksum", "_c").alias("list_checksum"))
+    patched = stored(updated_by_patch(told.where("diff_path is not null"), transport, **how).where("result is not null").select("url", F.col("result").cast("binary").alias("body")), "patched")
+    rest = urls.distinct().join(patched, "url", "left_anti")
+    got = stored(fetch(requests(rest, known.join(lists, "url", "left_semi")), transport, **how), "fetched")
+    news = stated(got.where("status_code = 200").select("url", "body"))
+    met = got.join(news, "url", "left").join(lists.select("url", F.lit(True).alias("_cached")), "url", "left")
+    cached, right = F.coalesce("_cached", F.lit(False)), text.checksum_matches(F.col("body").cast("string"), F.col("list_checksum"))
+    wrong = (F.col("status_code") == 200) & ~F.coalesce(right, F.lit(True)) & (F.octet_length("body") > 0)
+    status = F.when(wrong, F.when(cached, "used-cache-on-fail").otherwise("failed")).otherwise(outcome(F.coalesce("status_code", F.lit(0)), cached))
+    met = stored(met.withColumn("status", status), "met")
+    fresh = met.where("status = 'ok'").select("url", "body").union(patched)
+    name = text.safe_file_name(F.col("url")).alias("name")
+    kept = read_lists(spark, folder).join(fresh.select("url"), "url", "left_anti").select("url", "name", "body")
+    _write_lists(kept.union(fresh.select("url", name, "body")), folder)
+    changed = stated(fresh).select("url", F.col("diff_path").alias("_d"), F.col("list_checksum").alias("_c"))
+    answers = met.where("status in ('ok', 'not-modified')").select("url", "status_code", "etag", "last_modified").union(patched.select("url", F.lit(PATCHED), F.lit(None), F.lit(None)))
+    old = known.select("url", *(F.col(c).alias(f"old_{c}") for c in ("etag", "last_modified", "content_sha256", "diff_path", "list_checksum")))
+    rows = answers.join(old, "url", "left").join(changed, "url", "left").join(fresh.select("url", F.sha2("body", 256).alias("sha")), "url", "left")
+    whole = F.col("status_code") == 200  # else what was known stays where the answer says nothing
+    keep = lambda new, c: F.when(whole, F.col(new)).otherwise(F.coalesce(new, f"old_{c}")).alias(c)
+    columns = [keep("etag", "etag"), keep("last_modified", "last_modified"), F.coalesce("sha", "old_content_sha256").alias("content_sha256"), "status_code", F.lit(now).cast("long").alias("fetched_at"), keep("_d", "diff_path"), keep("_c", "list_checksum")]
+    records = rows.select("url", text.safe_file_name(F.col("url")).alias("path"), *columns)
     write_meta(stored(record(known, records), "meta"), f"{folder}/meta")
-    return {r["status"]: r["n"] for r in summary(told).collect()}
+    results = met.select("status").union(patched.select(F.lit("ok")))
+    counted = {"ok": 0, "not-modified": 0, "used-cache-on-fail": 0, "failed": 0} | {r["status"]: r["n"] for r in summary(results).collect()}
+    write_text(spark, f"{folder}/fetch_summary.json", json.dumps({"summary": counted, "timestamp": now}, indent=2))
+    if out:
+        rulefiles.write_bodies(read_lists(spark, folder).join(urls.distinct(), "url", "left_semi"), out)
+        rulefiles.purge(spark, out)
+        rulefiles.drop_copies(spark, out)
+    for used in (known, lists, patched, got, met):
+        discard(used)
+    return counted
 
 
 def directives(lines: DataFrame, by: str = "url") -> DataFrame:

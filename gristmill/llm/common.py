@@ -56,9 +56,22 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def with_row_key(docs: DataFrame) -> tuple[str, DataFrame]:
-    """(name, docs with a column of that name): a key of each row, unique and stored, as ids may repeat or be null."""
+    """(name, docs with a column of that name): a key of each row, as ids may repeat or be null.
+
+    It is a hash of 128 bits of doc_id and text. Of rows with the same doc_id and text, one is left, any one. Only the keys
+    are shuffled, and the rows that may have one that repeats.
+    """
     name = free_name(docs, "_row")
-    return name, stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed")
+    key = F.struct(*(F.xxhash64(F.lit(k), "doc_id", "text").alias(f"h{k}") for k in (1, 2)))
+    keyed = docs.withColumn(name, key)
+    repeated = stored(keyed.groupBy(name).count().where("count > 1").select(F.col(name).alias("doc_id")), "repeated")
+    if repeated.isEmpty():
+        return name, keyed
+    own = free_name(keyed, "_own")
+    moved = keyed.withColumnRenamed("doc_id", own).withColumnRenamed(name, "doc_id")
+    once = perhaps(moved, repeated).join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    every = without(moved, repeated).unionByName(once)
+    return name, every.withColumnRenamed("doc_id", name).withColumnRenamed(own, "doc_id").select(*keyed.columns)
 
 
 def released() -> None:

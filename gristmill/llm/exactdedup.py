@@ -246,7 +246,7 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedup_new(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: one of each group, whether ids repeat or are null.
 
-    Of rows that tie in length and doc_id, any one stays; a null doc_id sorts after all others.
+    Of rows that tie in length and doc_id, any one stays, whatever their other columns; a null doc_id sorts after all others.
     """
     row, rows = with_row_key(docs)
     ranked = rows.withColumn("doc_id", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")))

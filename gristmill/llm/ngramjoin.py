@@ -49,6 +49,8 @@ CACHE_WORDS = 200_000
 CHUNK_SETS, CHUNK_SHINGLES, SEVERAL = (1 << 16) - 1, 1_200_000, (1 << 16) - 1
 #: Shingles that a range is meant for, and bytes of text that one is reckoned to take.
 RANGE_SHINGLES, SHINGLE_BYTES = 4_000_000, 6
+#: Pairs of nodes whose children are looked at together, and bytes of bitmaps that are.
+PAIRS, PAIR_BYTES = 2048, 4 << 20
 #: Edges that a task holds before it contracts them.
 HELD_EDGES = 1_000_000
 _A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
@@ -306,8 +308,9 @@ class SignatureTree:
         far = (high[a] * q < low[b] * p) | (high[b] * q < low[a] * p)
         out = ~far
         look = np.flatnonzero(out)
-        for at in range(0, len(look), 4096):
-            k = look[at : at + 4096]
+        step = max(64, PAIR_BYTES // (8 * bits.shape[1]))
+        for at in range(0, len(look), step):
+            k = look[at : at + step]
             shared = np.bitwise_count(bits[a[k]] & bits[b[k]]).sum(axis=1).astype(np.int64) + np.minimum(spare[a[k]], spare[b[k]])
             out[k] = shared * (p + q) >= p * (low[a[k]] + low[b[k]])
         return out
@@ -318,16 +321,8 @@ class SignatureTree:
         out: list[tuple[int, int]] = []
         a = b = np.zeros(1, dtype=np.int64)
         for level in range(len(self.levels) - 2, -1, -1):
-            size = len(self.levels[level][1])
-            step = np.arange(FANOUT)
-            x = (a[:, None, None] * FANOUT + step[None, :, None] + 0 * step[None, None, :]).ravel()
-            y = (b[:, None, None] * FANOUT + step[None, None, :] + 0 * step[None, :, None]).ravel()
-            ok = (x < size) & (y < size) & (x <= y if level else x < y)
-            x, y = x[ok], y[ok]
-            if level:
-                x, y = (z[self._open(forest, level, x, y)] for z in (x, y))
-            ok = self.possible(level, x, y, t) | (x == y if level else False)
-            a, b = x[ok], y[ok]
+            found = [self._below(forest, level, a[k : k + PAIRS], b[k : k + PAIRS], t) for k in range(0, len(a), PAIRS)]
+            a, b = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         for i, j in zip(a.tolist(), b.tolist(), strict=True):
             if forest.root(i) == forest.root(j):
                 continue
@@ -339,6 +334,18 @@ class SignatureTree:
                 out.append((i, j))
         return out
 
+    def _below(self, forest: Forest, level: int, a: np.ndarray, b: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of nodes of a level below pairs of the level above that may hold links."""
+        size, step = len(self.levels[level][1]), np.arange(FANOUT)
+        x = (a[:, None, None] * FANOUT + step[None, :, None] + 0 * step[None, None, :]).ravel()
+        y = (b[:, None, None] * FANOUT + step[None, None, :] + 0 * step[None, :, None]).ravel()
+        ok = (x < size) & (y < size) & (x <= y if level else x < y)
+        x, y = x[ok], y[ok]
+        ok = self._open(forest, level, x, y)
+        x, y = x[ok], y[ok]
+        ok = self.possible(level, x, y, t) | (x == y if level else False)
+        return x[ok], y[ok]
+
     def _open(self, forest: Forest, level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Pairs of nodes whose sets aren't all connected already."""
         root = np.array([forest.root(k) for k in range(len(self.sets))])
@@ -389,10 +396,11 @@ def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFra
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     every = stored(scanned(small_batches(docs), words, max(64, -(-size // (SHINGLE_BYTES * RANGE_SHINGLES)))), "rows")
-    rows = every.where("chunk is null").select("doc_id", "n", "node", "print")
+    rows = stored(every.where("chunk is null").select("doc_id", "n", "node", "print"), "ids")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("at")
     wanted = rows.groupBy("node").agg(first).join(suspects(every, threshold), "node", "left_semi")  # copies are combined first
     wanted = stored(wanted.select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("key"), "at.doc_id", "at.print"), "wanted")
+    discard(every)
     sets = stored(members(docs, wanted, words), "sets")
     prefix = stored(rarest(sets, threshold), "prefix")
     edges = stored(bucket_edges(prefix), "buckets")
@@ -469,7 +477,8 @@ def join(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction
 def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:
     """The row with the smallest id of each component, with all its columns; ids may repeat or be null.
 
-    Of rows that tie in doc_id, any one stays; a null doc_id sorts after all others.
+    Of rows that tie in doc_id, any one stays, also of rows with the same doc_id and a text without words, whatever their
+    other columns; a null doc_id sorts after all others.
     """
     row, rows = with_row_key(docs)
     keyed = rows.select(F.col(row).alias("doc_id"), "text")

@@ -26,7 +26,7 @@ CAPACITY, END_ID = 4096, 1
 #: one a length at most (they grow then).
 GROUP, GROUPS = 2048, 1 << 16
 #: Entries of a worker's cache of pre-tokens, after which it starts anew.
-CACHE_PARTS = 700_000
+CACHE_PARTS = 250_000
 #: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.
 _LETTERS = "a-zß-öø-įĵ-ķĺ-ň"
 _SIMPLE = re.compile(f"[\t-\r -~À-ÖØ-öø-įĴ-ķĹ-ň]*").fullmatch

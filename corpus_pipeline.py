@@ -11,7 +11,10 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 
 from gristmill.llm import exactdedup, ngramjoin, packing, secretscan, toxicity
-from gristmill.llm.common import stored, table
+from gristmill.llm.common import discard, stored, table
+
+
+HELD_WORDS = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, packing.default_tokenizer())
+    """Workers remember fewer words than those of the operator alone, as executors still hold what the stages before left."""
+    return packing.pack_documents(docs, packing.default_tokenizer(), most=HELD_WORDS)
 
 
 STAGES = [
@@ -50,9 +54,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, name)
+            if k:
+                discard(before)
     return docs
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,8 +127,8 @@ class BinaryFuse8:
         return cls(int(row["seed"]), int(row["segment"]), int(row["segments"]), np.frombuffer(row["prints"], dtype=np.uint8))
 
 
-def _keys(frame: pd.DataFrame) -> np.ndarray:
-    return frame["_key"].to_numpy(dtype=np.int64).view(np.uint64)
+def _keys(rows: pa.Table) -> np.ndarray:
+    return rows["_key"].to_numpy().view(np.uint64)
 
 
 def keyed(rows: DataFrame, shards: int) -> DataFrame:
@@ -141,10 +141,12 @@ def keyed(rows: DataFrame, shards: int) -> DataFrame:
 def filters(snapshot: DataFrame, shards: int) -> DataFrame:
     """One filter per shard of the snapshot's digests: _shard, seed, segment, segments, prints."""
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{"_shard": frame["_shard"].iloc[0]} | BinaryFuse8.build(_keys(frame)).dumped()])
+    kinds = pa.schema([("_shard", pa.int32()), ("seed", pa.int32()), ("segment", pa.int32()), ("segments", pa.int32()), ("prints", pa.binary())])
 
-    return keyed(snapshot, shards).select("_shard", "_key").groupBy("_shard").applyInPandas(build, "_shard int, seed int, segment int, segments int, prints binary")
+    def build(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([{"_shard": rows["_shard"][0].as_py()} | BinaryFuse8.build(_keys(rows)).dumped()], schema=kinds)
+
+    return keyed(snapshot, shards).select("_shard", "_key").groupBy("_shard").applyInArrow(build, "_shard int, seed int, segment int, segments int, prints binary")
 
 
 def screened(groups: DataFrame, built: DataFrame, shards: int, count: int) -> DataFrame:
@@ -154,15 +156,16 @@ def screened(groups: DataFrame, built: DataFrame, shards: int, count: int) -> Da
     """
     parts = max(1, -(-count // (shards * SCREENED)))
 
-    def screen(incoming: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
+    def screen(incoming: pa.Table, shard: pa.Table) -> pa.Table:
+        digests = incoming.select(["text_sha256"])
         if not len(shard) or not len(incoming):
-            return pd.DataFrame({"text_sha256": pd.Series([], dtype=str)})
-        return incoming.loc[BinaryFuse8.loaded(shard.iloc[0]).holds(_keys(incoming)), ["text_sha256"]]
+            return digests.slice(0, 0)
+        return digests.filter(pa.array(BinaryFuse8.loaded(shard.to_pylist()[0]).holds(_keys(incoming))))
 
     part = F.pmod(F.xxhash64("text_sha256"), F.lit(parts)).cast("int")
     incoming = keyed(groups, shards).select("_shard", part.alias("_part"), "_key", "text_sha256").groupBy("_shard", "_part")
     copies = built.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return incoming.cogroup(copies.groupBy("_shard", "_part")).applyInPandas(screen, "text_sha256 string")
+    return incoming.cogroup(copies.groupBy("_shard", "_part")).applyInArrow(screen, "text_sha256 string")
 
 
 def grouped(rows: DataFrame) -> DataFrame:

@@ -30,7 +30,6 @@ from fractions import Fraction
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -44,9 +43,9 @@ BLOCK, PIVOTS = 64, 16
 #: A larger block of at most so many sets and bytes is looked at again as a whole; beyond that by bucket.
 WHOLE_SETS, WHOLE_BYTES = 2048, 48 << 20
 FANOUT = 8
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: Sets and shingles of a chunk at most (shingles: and one slice of texts); the number of no set of a chunk.
-CHUNK_SETS, CHUNK_SHINGLES, SEVERAL = (1 << 16) - 1, 1_200_000, (1 << 16) - 1
+CHUNK_SETS, CHUNK_SHINGLES, SEVERAL = (1 << 16) - 1, 600_000, (1 << 16) - 1
 #: Shingles that a range is meant for, and bytes of text that one is reckoned to take.
 RANGE_SHINGLES, SHINGLE_BYTES = 4_000_000, 6
 #: Pairs of nodes whose children are looked at together, and bytes of bitmaps that are.
@@ -154,12 +153,15 @@ def scanned(docs: DataFrame, words: int, ranges: int) -> DataFrame:
     return texts.mapInArrow(scan, f"doc_id {kind}, n long, node binary, print long, chunk long, range int, a binary, b binary")
 
 
-def _shared_in_range(g: pd.DataFrame) -> pd.DataFrame:
+COUNTED = pa.schema([("chunk", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("counts", pa.bool_())])
+
+
+def _shared_in_range(g: pa.Table) -> pa.Table:
     """Of a range: for each chunk, how many shingles of a set stand in other chunks too; nodes and sizes pass through."""
-    if g["range"].iloc[0] < 0:
-        return g[["chunk", "a", "b"]].assign(counts=False)
-    a = [np.frombuffer(x, dtype=np.uint32) for x in g["a"]]
-    low, owner = np.concatenate(a), np.concatenate([np.frombuffer(x, dtype=np.uint16) for x in g["b"]])
+    if g["range"][0].as_py() < 0:
+        return g.select(["chunk", "a", "b"]).append_column("counts", pa.array(np.zeros(len(g), dtype=bool)))
+    a = [np.frombuffer(x, dtype=np.uint32) for x in g["a"].to_pylist()]
+    low, owner = np.concatenate(a), np.concatenate([np.frombuffer(x, dtype=np.uint16) for x in g["b"].to_pylist()])
     source = np.repeat(np.arange(len(a), dtype=np.int64), [len(x) for x in a])
     order = np.argsort(low)
     same = low[order][1:] == low[order][:-1]
@@ -167,25 +169,28 @@ def _shared_in_range(g: pd.DataFrame) -> pd.DataFrame:
     twice = twice[owner[twice] != SEVERAL]  # those are counted in their chunk
     key, n = np.unique(source[twice] << 16 | owner[twice], return_counts=True)
     start = np.flatnonzero(np.r_[True, key[1:] >> 16 != key[:-1] >> 16]) if len(key) else key
-    out = [(int(g["chunk"].iloc[key[x] >> 16]), (key[x:y] & 0xFFFF).astype(np.uint16).tobytes(), n[x:y].astype(np.uint32).tobytes(), True) for x, y in zip(start, [*start[1:], len(key)], strict=False)]
-    return pd.DataFrame(out, columns=["chunk", "a", "b", "counts"])
+    chunk, out = g["chunk"].to_numpy(), []
+    for x, y in zip(start, [*start[1:], len(key)], strict=False):
+        out.append({"chunk": int(chunk[key[x] >> 16]), "a": (key[x:y] & 0xFFFF).astype(np.uint16).tobytes(), "b": n[x:y].astype(np.uint32).tobytes(), "counts": True})
+    return pa.Table.from_pylist(out, schema=COUNTED)
 
 
 def suspects(found: DataFrame, t: Fraction) -> DataFrame:
     """The nodes that have at least t of their shingles in common with others, out of the rows of `scanned`."""
     rows = found.where("chunk is not null").select("range", "chunk", "a", "b")
-    shared = rows.groupBy("range").applyInPandas(_shared_in_range, "chunk long, a binary, b binary, counts boolean")
+    shared = rows.groupBy("range").applyInArrow(_shared_in_range, "chunk long, a binary, b binary, counts boolean")
     p, q = t.numerator, t.denominator
 
-    def summed(g: pd.DataFrame) -> pd.DataFrame:
-        names = g[~g["counts"].astype(bool)].iloc[0]
-        size, n = np.frombuffer(names["b"], dtype=np.uint32).astype(np.int64).reshape(2, -1)
-        for a, b, counts in zip(g["a"], g["b"], g["counts"], strict=True):
+    def summed(g: pa.Table) -> pa.Table:
+        rows = list(zip(*(g[c].to_pylist() for c in ("a", "b", "counts")), strict=True))
+        names, sizes, _ = next(r for r in rows if not r[2])
+        size, n = np.frombuffer(sizes, dtype=np.uint32).astype(np.int64).reshape(2, -1)
+        for a, b, counts in rows:
             if counts:
                 n[np.frombuffer(a, dtype=np.uint16)] += np.frombuffer(b, dtype=np.uint32)
-        return pd.DataFrame({"node": [names["a"][16 * k : 16 * k + 16] for k in np.flatnonzero(n * q >= p * size)]})
+        return pa.table({"node": pa.array([names[16 * k : 16 * k + 16] for k in np.flatnonzero(n * q >= p * size)], pa.binary())})
 
-    return shared.groupBy("chunk").applyInPandas(summed, "node binary").distinct()
+    return shared.groupBy("chunk").applyInArrow(summed, "node binary").distinct()
 
 
 # ---------------------------------------------------------------- blocks
@@ -354,18 +359,19 @@ class SignatureTree:
         return ~((low[x] == high[x]) & (low[y] == high[y]) & (low[x] == low[y]))
 
 
-def linked(group: pd.DataFrame, t: Fraction) -> pd.DataFrame:
+def linked(group: pa.Table, t: Fraction) -> pa.Table:
     """group: node, set, start (what is connected already). Links u, v that connect its nodes."""
-    group = group.drop_duplicates("node")  # a pivot stands in its own part too
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in group["set"]]
-    order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][:1].tolist(), group["node"].iloc[k]))
-    nodes, start = group["node"].to_numpy()[order], group["start"].to_numpy()[order]
+    nodes, first = np.unique(group["node"].to_numpy(), return_index=True)  # a pivot stands in its own part too
+    group = group.take(first)
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in group["set"].to_pylist()]
+    order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][:1].tolist(), nodes[k]))
+    nodes, start = nodes[order], group["start"].to_numpy()[order]
     found = SignatureTree([sets[k] for k in order]).links(Forest(start), t) if len(order) > 1 else []
-    return pd.DataFrame({"u": [int(nodes[i]) for i, _ in found], "v": [int(nodes[j]) for _, j in found]}, dtype="int64")
+    return pa.table({"u": pa.array([int(nodes[i]) for i, _ in found], pa.int64()), "v": pa.array([int(nodes[j]) for _, j in found], pa.int64())})
 
 
 def _links(rows: DataFrame, keys: list[str], t: Fraction) -> DataFrame:
-    return rows.select(*keys, "node", "set", "start").groupBy(*keys).applyInPandas(lambda g: linked(g, t), "u long, v long")
+    return rows.select(*keys, "node", "set", "start").groupBy(*keys).applyInArrow(lambda g: linked(g, t), "u long, v long")
 
 
 # ---------------------------------------------------------------- the join

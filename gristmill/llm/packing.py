@@ -25,8 +25,8 @@ CAPACITY, END_ID = 4096, 1
 #: Pieces of one length that are numbered together, so that a very common length is no single group; so many groups beyond
 #: one a length at most (they grow then).
 GROUP, GROUPS = 2048, 1 << 16
-#: Entries of a worker's cache of pre-tokens, after which it starts anew.
-CACHE_PARTS = 250_000
+#: Entries of a worker's cache of pre-tokens, after which it starts anew (about 200 bytes each).
+CACHE_PARTS = 700_000
 #: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.
 _LETTERS = "a-zß-öø-įĵ-ķĺ-ň"
 _SIMPLE = re.compile(f"[\t-\r -~À-ÖØ-öø-įĴ-ķĹ-ň]*").fullmatch
@@ -40,9 +40,10 @@ class WordIds:
     The vocabulary encodes each pre-token apart, so the ids of a text are those of its pre-tokens in a row.
     """
 
-    def __init__(self, vocabulary: str | bytes):
-        """vocabulary: a file's path or what it holds."""
+    def __init__(self, vocabulary: str | bytes, most: int = CACHE_PARTS):
+        """vocabulary: a file's path or what it holds; most: entries of the cache."""
         one_thread()
+        self.most = most
         from tokenizers import Tokenizer
 
         raw = file_bytes(vocabulary) if isinstance(vocabulary, str) else vocabulary
@@ -56,7 +57,7 @@ class WordIds:
 
     def learn(self, parts: list[str]) -> None:
         """Encodes pre-tokens with blanks between them; the vocabulary marks the last id of each."""
-        if len(self.parts) + len(parts) > CACHE_PARTS:
+        if len(self.parts) + len(parts) > self.most:
             self.parts.clear()
         for at in range(0, len(parts), 2000):
             some = parts[at : at + 2000]
@@ -95,14 +96,14 @@ class WordIds:
         return out
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, most: int = CACHE_PARTS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if wanted, ids."""
     end = np.array([end_id], dtype="<u4").tobytes()
     kind = docs.schema["doc_id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer))
 
     def cut(batches):
-        coder = worker_cache("packing").setdefault(tokenizer, None) or WordIds(sent.value)
+        coder = worker_cache("packing").setdefault(tokenizer, None) or WordIds(sent.value, most)
         worker_cache("packing")[tokenizer] = coder
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
@@ -298,12 +299,14 @@ def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return found.withColumn("_rank", rank).mapInArrow(assign, f"{kept}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, most: int = CACHE_PARTS) -> DataFrame:
     """Packs documents (doc_id, text) into sequences of at most capacity ids; documents above it are cut.
 
+    most: pre-tokens that a worker remembers, a matter of its memory and speed only.
+
     Returns per piece: doc_id, piece, start, length, ids_crc32, ids if wanted, sequence_id, offset.
     """
-    return packed(stored(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces"), capacity)
+    return packed(stored(pieces(docs, tokenizer, capacity, end_id, with_ids, most), "pieces"), capacity)
 
 
 def default_tokenizer() -> str:

@@ -13,6 +13,7 @@ the share of positive ones (0 without any); a null doc_id is scored and has the
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from hashlib import blake2b
@@ -29,8 +30,10 @@ LABELLED_ROWS = 20_000
 #: Lexicon terms: at least this share of the positive rows, this many of them, and this ratio of the two rates.
 TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 4, 15.0, 4096
 BEGINNINGS = range(4, 11)
+#: Words that a worker remembers what the lexicon says of.
+KNOWN = 100_000
 #: Terms that a task counts before it sends them on.
-HELD_TERMS = 1_000_000
+HELD_TERMS = 150_000
 #: Parts of the sample: lexicons and margins that a row is judged by in training come from the others.
 PARTS = 5
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN = 60, 3, 0.2, 32, 2.0
@@ -69,7 +72,7 @@ class Lexicon:
     def __call__(self, word: str) -> int:
         """1: a word of the lexicon, 2: begins like one, 0: neither."""
         if (found := self.known.get(word)) is None:
-            if len(self.known) > 200_000:
+            if len(self.known) > KNOWN:
                 self.known.clear()
             found = 1 if whole(word) in self.words else 2 if any(word[:k] in self.starts for k in BEGINNINGS) else 0
             self.known[word] = found
@@ -243,15 +246,15 @@ def _terms(batches):
                     found |= {w[:x] for w in words for x in BEGINNINGS if len(w) > x}
                 n.update((t, toxic[k], part[k]) for t in found)
                 n["", toxic[k], part[k]] += 1
-        if len(n) > HELD_TERMS:
-            yield from _counted(n)
-            n.clear()
+                if len(n) > HELD_TERMS:
+                    yield from _counted(n)
+                    n.clear()
     yield from _counted(n)
 
 
 def _counted(n: Counter):
-    for top in range(0, len(items := list(n.items())), 50_000):
-        rows = items[top : top + 50_000]
+    items = iter(n.items())
+    while rows := list(itertools.islice(items, 20_000)):
         yield pa.RecordBatch.from_pydict({"term": [r[0][0] for r in rows], "toxic": pa.array([r[0][1] for r in rows], pa.int32()), "part": pa.array([r[0][2] for r in rows], pa.int32()), "n": [r[1] for r in rows]})
 
 

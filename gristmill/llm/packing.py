@@ -24,7 +24,7 @@ from gristmill.llm.common import file_bytes, one_thread, rows_of, small_batches,
 CAPACITY, END_ID = 4096, 1
 #: Pieces of one length that are numbered together, so that a very common length is no single group; so many groups beyond
 #: one a length at most (they grow then).
-GROUP, GROUPS = 2048, 1 << 16
+GROUP, GROUPS = 256, 1 << 16
 #: Entries of a worker's cache of pre-tokens, after which it starts anew (about 200 bytes each).
 CACHE_PARTS = 700_000
 #: Texts of these characters (ASCII but controls, Latin letters) are lower-cased and cut here; others go through the library.

@@ -16,7 +16,7 @@ __all__ = ["discard", "file_bytes", "free_name", "one_thread", "perhaps", "relea
 #: Hash buckets of ids; a broadcast of buckets has at most this many rows of eight bytes.
 ID_BUCKETS = 1 << 20
 #: Rows of an Arrow batch of texts.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 #: Bytes of text that Python code holds as objects at once, beside the Arrow batch.
 SLICE_BYTES = 4 << 20
 

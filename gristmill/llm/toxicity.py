@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import discard, free_name, rows_of, small_batches, stored, table
+from gristmill.llm.common import discard, free_name, rows_of, small_batches, stored, table, worker_cache
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, in expectation.
 LABELLED_ROWS = 20_000
@@ -234,6 +234,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Dat
 
 def _terms(batches):
     """Terms of a partition's rows with their numbers of rows by label and part."""
+    worker_cache("toxicity")
     n = Counter()
     for batch in batches:
         toxic, part = batch.column(1).to_pylist(), batch.column(2).to_pylist()
@@ -283,6 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Scor
     *others, full = lexicons(picked)
 
     def features(batches):
+        worker_cache("toxicity")
         for batch in batches:
             toxic, part = batch.column(1), batch.column(2).to_pylist()
             for first, texts in rows_of(batch, "text"):
@@ -315,6 +317,7 @@ def scored(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(scorer)  # at most TERMS terms and TREES trees
 
     def score(batches):
+        worker_cache("toxicity")  # what another operator kept in this worker goes
         for batch in batches:
             found = [model.value(texts) for _, texts in rows_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*found, []]), pa.float64())], names=[*batch.schema.names, name])

@@ -14,7 +14,7 @@ from gristmill.llm import exactdedup, ngramjoin, packing, secretscan, toxicity
 from gristmill.llm.common import discard, stored, table
 
 
-HELD_WORDS = 100_000
+HELD_WORDS = 30_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,11 +43,11 @@ BLOCK, PIVOTS = 64, 16
 #: A larger block of at most so many sets and bytes is looked at again as a whole; beyond that by bucket.
 WHOLE_SETS, WHOLE_BYTES = 2048, 48 << 20
 FANOUT = 8
-CACHE_WORDS = 100_000
+CACHE_WORDS = 30_000
 #: Sets and shingles of a chunk at most (shingles: and one slice of texts); the number of no set of a chunk.
 CHUNK_SETS, CHUNK_SHINGLES, SEVERAL = (1 << 16) - 1, 600_000, (1 << 16) - 1
-#: Shingles that a range is meant for, and bytes of text that one is reckoned to take.
-RANGE_SHINGLES, SHINGLE_BYTES = 4_000_000, 6
+#: Shingles that a range is meant for, bytes of text that one is reckoned to take, and the least number of ranges.
+RANGE_SHINGLES, SHINGLE_BYTES, LEAST_RANGES = 2_000_000, 6, 256
 #: Pairs of nodes whose children are looked at together, and bytes of bitmaps that are.
 PAIRS, PAIR_BYTES = 2048, 4 << 20
 #: Edges that a task holds before it contracts them.
@@ -401,7 +401,7 @@ def members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 def connected(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every row, and (node, root) of the nodes that link with others."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    every = stored(scanned(small_batches(docs), words, max(64, -(-size // (SHINGLE_BYTES * RANGE_SHINGLES)))), "rows")
+    every = stored(scanned(small_batches(docs), words, max(LEAST_RANGES, -(-size // (SHINGLE_BYTES * RANGE_SHINGLES)))), "rows")
     rows = stored(every.where("chunk is null").select("doc_id", "n", "node", "print"), "ids")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("at")
     wanted = rows.groupBy("node").agg(first).join(suspects(every, threshold), "node", "left_semi")  # copies are combined first

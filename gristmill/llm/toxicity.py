@@ -31,7 +31,7 @@ LABELLED_ROWS = 20_000
 TERM_SHARE, TERM_ROWS, TERM_RATIO, TERMS = 0.01, 4, 15.0, 4096
 BEGINNINGS = range(4, 11)
 #: Words that a worker remembers what the lexicon says of.
-KNOWN = 100_000
+KNOWN = 20_000
 #: Terms that a task counts before it sends them on.
 HELD_TERMS = 150_000
 #: Parts of the sample: lexicons and margins that a row is judged by in training come from the others.
